@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pisteflow.llm import bpe
+from pisteflow.llm import bpe, exact, mixing, quality, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +25,109 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the id of the equal document that stays."""
+    return exact.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of every document, and the verdict of the current policy."""
+    book = quality.ledger(_documents(spark, sf_dir))
+    return book.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality.passes("base")).alias("base_failed"), quality.passes("v1").alias("kept"), "n_lines", "fail_bits",
+    )
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the weighted mix takes of every document."""
+    return mixing.decisions(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_documents(spark, sf_dir), words=4, radius=4)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_mixing": op9_mixing,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WS = "[\\x20\\x09-\\x0D]"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": rf"""
+        WITH t AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                sha256(regexp_replace(coalesce(text, ''), '{_WS}+', '', 'g')) AS text_sha256
+            FROM documents),
+        g AS (
+            SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
+                count(*) OVER (PARTITION BY text_sha256) AS group_size
+            FROM t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op8_quality_rules": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        w AS (
+            SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+                length(regexp_replace(text, '{_WS}+', '', 'g')) AS word_chars,
+                len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+                list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+            FROM d),
+        s AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+        r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM s),
+        c AS (
+            SELECT doc_id, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n_repeat_words
+            FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM r WHERE n > 1)
+            GROUP BY doc_id),
+        m AS (
+            SELECT doc_id, len(w) AS n_words, word_chars, n_symbols,
+                len(l) - len(list_distinct(l)) AS n_dup_lines,
+                coalesce(n_repeat_words, 0) AS n_repeat_words, len(l) AS n_lines
+            FROM w LEFT JOIN c USING (doc_id)),
+        b AS (
+            SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
+                + 4 * (2 * n_symbols > 3 * n_words)::BIGINT + 8 * (word_chars > 30 * n_words)::BIGINT
+                + 16 * (n_lines > 3 AND 2 * n_dup_lines > n_lines)::BIGINT AS fail_bits
+            FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, n_lines, fail_bits
+        FROM b""",
+    "op9_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0)::BIGINT AS size,
+                md5(coalesce(doc_id::VARCHAR, '')) AS key
+            FROM documents),
+        p AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        q AS (
+            SELECT *, [3, 1, 2][1 + (place - 1) % 3] AS weight
+            FROM (SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS place FROM p)),
+        o AS (
+            SELECT *, 2 * source_size AS most, (2 * source_size)::DOUBLE / weight AS runs_out,
+                sum(source_size) OVER () * 1.5::DOUBLE AS budget
+            FROM q),
+        l AS (
+            SELECT *, (budget - coalesce(sum(most) OVER (ORDER BY runs_out, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / sum(weight) OVER (ORDER BY runs_out, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS t
+            FROM o),
+        v AS (SELECT *, coalesce((min({'o': runs_out, 'p': place, 't': t}) FILTER (t <= runs_out) OVER ()).t, max(runs_out) OVER ()) AS level FROM l),
+        s AS (SELECT *, least(weight * level, most::DOUBLE) AS target FROM v),
+        u AS (
+            SELECT d.*, s.place, s.weight, s.source_size, s.target, s.budget,
+                sum(size) OVER (PARTITION BY s.place ORDER BY key, doc_id, size) AS upto
+            FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+        c AS (
+            SELECT *, (upto + copy * source_size)::DOUBLE / weight AS finish
+            FROM u, (SELECT unnest([0, 1]) AS copy)),
+        k AS (SELECT *, sum(size) OVER (ORDER BY finish, place, copy, key, doc_id, size) AS total FROM c)
+        SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+            (any_value(size) * count(*) FILTER (total <= budget))::BIGINT AS taken
+        FROM k GROUP BY doc_id""",
+}
