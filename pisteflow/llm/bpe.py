@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 #: Entries of a worker's pre-token memo, in two generations; the older one is dropped when the
 #: younger is full, so memory stays bounded.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 1_000_000
 #: Texts whose characters all lie below this code point take the class-table pattern.
 FAST_BELOW = 0x250
 
@@ -99,31 +99,55 @@ class MinimalPerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
-def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: merge the adjacent pair of lowest rank until none has a rank."""
+def byte_pairs(ranks: dict[bytes, int]) -> list[int | None]:
+    """For two adjacent bytes (first * 256 + second), the rank of the pair as the high bits of an entry."""
+    table: list[int | None] = [None] * 65536
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            table[token[0] << 8 | token[1]] = rank << 64
+    return table
+
+
+def merge_bytes(piece: bytes, ranks: dict[bytes, int], pairs: list[int | None]) -> list[int]:
+    """Ids of one pre-token: merge the adjacent pair of lowest rank until none has a rank.
+
+    A heap entry is rank, start and stop of a pair in one integer, ordered like that triple.
+    """
     n = len(piece)
     rank_of = ranks.get
-    end = list(range(1, n + 1))  # of the part that begins here; 0 once it was merged away
-    prev = list(range(-1, n - 1))
-    # An entry is rank, start and stop of a pair in one integer: ordered like that triple.
-    heap = [r << 64 | i << 32 | i + 2 for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+    end = list(range(1, n + 2))  # of the part that begins here; 0 once it was merged away
+    end[n] = 0
+    prev = list(range(-1, n))
+    heap, i, a = [], 0, piece[0]
+    for b in piece[1:]:
+        entry = pairs[a << 8 | b]
+        if entry is not None:
+            heap.append(entry | i << 32 | i + 2)
+        a = b
+        i += 1
     heapify(heap)
     while heap:
         entry = heappop(heap)
-        i, stop = entry >> 32 & 0xFFFFFFFF, entry & 0xFFFFFFFF
+        stop, i = entry & 0xFFFFFFFF, entry >> 32 & 0xFFFFFFFF
         mid = end[i]
-        if not mid or mid >= n or end[mid] != stop:
-            continue  # one of the two parts has changed since
-        end[i], end[mid] = stop, 0
-        if stop < n:
-            prev[stop] = i
-            if (r := rank_of(piece[i : (far := end[stop])])) is not None:
-                heappush(heap, r << 64 | i << 32 | far)
-        if (before := prev[i]) >= 0 and (r := rank_of(piece[before:stop])) is not None:
-            heappush(heap, r << 64 | before << 32 | stop)
+        if mid and end[mid] == stop:  # neither part has changed since
+            end[i] = stop
+            end[mid] = 0
+            if stop < n:
+                prev[stop] = i
+                far = end[stop]
+                rank = rank_of(piece[i:far])
+                if rank is not None:
+                    heappush(heap, rank << 64 | i << 32 | far)
+            before = prev[i]
+            if before >= 0:
+                rank = rank_of(piece[before:stop])
+                if rank is not None:
+                    heappush(heap, rank << 64 | before << 32 | stop)
     ids, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i : (stop := end[i])]])
+        stop = end[i]
+        ids.append(ranks[piece[i:stop]])
         i = stop
     return ids
 
@@ -192,13 +216,16 @@ class Codec:
     def _prepare(self) -> None:
         self.slow, self.fast = regex.compile(self.pattern), _fast_pattern(self.pattern)
         self.low = re.compile(f"[^\\u0000-\\u{FAST_BELOW - 1:04x}]")
+        self.pairs = byte_pairs(self.ranks)
         self.memo = _Memo(self)
         self.bytes_of = {str(r): t for t, r in self.ranks.items()}
         self._ready = True
 
     def encode_piece(self, piece: bytes) -> list[int]:
+        if not self._ready:
+            self._prepare()
         whole = self.whole.get(piece)
-        return [whole] if whole is not None else merge_bytes(piece, self.ranks)
+        return [whole] if whole is not None else merge_bytes(piece, self.ranks, self.pairs)
 
     def pieces(self, text: str) -> list[str]:
         if self.fast and (text.isascii() or not self.low.search(text)):
