@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pisteflow.llm import bpe, exact, mixing, quality, simhash
+from pisteflow.llm import bpe, exact, lines, mixing, quality, simhash, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text that repeated strings of 200 bytes cover, and a digest of the rest."""
+    out = suffixes.remove_repeats(_documents(spark, sf_dir).select("doc_id", "text"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document whose key is in ten documents or more, and a digest of the rest."""
+    out = lines.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"), min_docs=10)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the id of the equal document that stays."""
     return exact.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -51,6 +63,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
@@ -60,6 +74,18 @@ QUERIES = {
 _WS = "[\\x20\\x09-\\x0D]"
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": r"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+        x AS (
+            SELECT doc_id, i, l[i] AS line,
+                translate(regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+        gone AS (SELECT key FROM x WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+        y AS (SELECT *, key IN (SELECT key FROM gone) AS drops FROM x)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (drops) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT drops), '')) AS kept_sha256
+        FROM y GROUP BY doc_id""",
     "op4_exact_dedup": rf"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
