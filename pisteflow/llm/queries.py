@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pisteflow.llm import bpe, exact, lines, mixing, quality, simhash, suffixes
+from pisteflow.llm import bpe, exact, langid, lines, mixing, quality, simhash, suffixes, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learnt from the rows that are not held out."""
+    docs = _documents(spark, sf_dir)
+    held_out = langid.remainder("doc_id", 3) == 1
+    model = langid.fit(docs.where(~held_out))
+    out = langid.predict(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from the labels of the rows that are not held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held_out = langid.remainder("doc_id", 5) == 0
+    learn = docs.where(~held_out).join(labels.where(~held_out), "doc_id", "left")
+    out = toxicity.score(docs, toxicity.fit(learn), keep=["doc_id"])
+    return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document, and the verdict of the current policy."""
     book = quality.ledger(_documents(spark, sf_dir))
@@ -66,6 +85,8 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
