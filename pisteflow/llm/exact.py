@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pisteflow.plans.lineage import materialize
+
 #: Up to so many filter words (8 bytes each) are broadcast; a larger filter is joined by shuffle.
 BROADCAST_WORDS = 1 << 20
 WHITE = r"[\x20\x09-\x0D]+"
@@ -59,7 +61,8 @@ def exact_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", r
     alone = probed.where(~maybe).withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
     candidates = probed.where(maybe)
     order = F.struct((-F.col("__length")).alias("l"), F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("__row").alias("r"))
-    groups = candidates.groupBy("text_sha256").agg(F.min(order).alias("__keep"), F.count("*").alias("group_size"))
+    # Written out, the groups are a plain side of the join, so that one large group's rows can be split.
+    groups = materialize(candidates.groupBy("text_sha256").agg(F.min(order).alias("__keep"), F.count("*").alias("group_size")), "groups")
     decided = candidates.join(groups, "text_sha256").withColumns({"keep_id": F.col("__keep.i"), "kept": F.col("__keep.r") == F.col("__row")})
     columns = [*base.columns, *OUTPUTS]
     return alone.drop(*helpers).select(columns).union(decided.drop(*helpers).select(columns))

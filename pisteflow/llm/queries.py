@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pisteflow.llm import bpe, exact, langid, lines, mixing, quality, simhash, suffixes, toxicity
+from pisteflow.llm import bpe, exact, langid, licenses, lines, mixing, quality, simhash, suffixes, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice found in any whole text, with coverage and span."""
+    return licenses.findings(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learnt from the rows that are not held out."""
     docs = _documents(spark, sf_dir)
@@ -85,6 +90,7 @@ QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
