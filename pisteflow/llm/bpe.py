@@ -245,6 +245,14 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids_text.split(" "))) if ids_text else b""
 
 
+def _as_lists(texts: list[str]) -> pa.ListArray:
+    """Decimal ids of each text as one list<int> column."""
+    ids = [np.fromstring(t, dtype=np.int32, sep=" ") if t else np.zeros(0, np.int32) for t in texts]
+    offsets = np.zeros(len(ids) + 1, dtype=np.int32)
+    np.cumsum([len(i) for i in ids], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+
+
 def encode_decode(
     df: DataFrame,
     ranks: dict[bytes, int],
@@ -263,7 +271,6 @@ def encode_decode(
     codec = df.sparkSession.sparkContext.broadcast(Codec(ranks, pattern))
     schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(o, _OUTPUTS[o]) for o in outputs)])
     at = "__bpe_text"
-    kinds = {"ids": pa.list_(pa.int32()), "ids_text": pa.string(), "decoded": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec.value
@@ -271,8 +278,8 @@ def encode_decode(
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
                 texts = [own.encode_text(t) for t in batch.column(at).to_pylist()]
-                made = {"ids_text": lambda: texts, "decoded": lambda: map(own.decode_text, texts), "ids": lambda: [list(map(int, t.split())) for t in texts]}  # noqa: B023
-                columns = [batch.column(c) for c in keep] + [pa.array(list(made[o]()), kinds[o]) for o in outputs]
+                made = {"ids_text": lambda: pa.array(texts, pa.string()), "decoded": lambda: pa.array([own.decode_text(t) for t in texts], pa.binary()), "ids": lambda: _as_lists(texts)}  # noqa: B023
+                columns = [batch.column(c) for c in keep] + [made[o]() for o in outputs]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *outputs])
 
     return df.select(*(df[c] for c in keep), df[text_col].alias(at)).mapInArrow(run, schema)

@@ -169,7 +169,10 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
 
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of df that stay when one document of each component does: the one of smallest id."""
+    """The rows of df that stay when one document of each component does: the one of smallest id.
+
+    Rows without an id can't be told apart from those that stay, so they stay as well.
+    """
     chosen = near_duplicates(df, text_col, id_col, words, radius)
     stay = chosen.where(F.col(id_col) == F.col("component_id")).select(id_col)
-    return df.join(stay, id_col, "left_semi")
+    return df.join(stay, id_col, "left_semi").union(df.where(F.col(id_col).isNull()))
