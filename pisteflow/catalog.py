@@ -1,12 +1,23 @@
-"""Registered queries of the map-data operators, each with equivalent DuckDB SQL."""
+"""Registered queries: the map-data operators on stand-in tables, each with equivalent DuckDB SQL.
+
+The domain layers aren't among the driver's tables, so points, lines, tags and series are derived
+from those tables by fixed arithmetic, alike in both engines. Doubles are rounded to six decimals.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pisteflow.functions import csvtext, geo, ids, reduce, tags
+from pisteflow.functions.jsnum import js_round
+from pisteflow.operators import algebra, relational, spatial
+from pisteflow.operators.graph import connected_components
+from pisteflow.plans import export, snow, statistics
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -23,5 +34,574 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def r6(x: Column) -> Column:
+    return F.round(x, 6)
+
+
+# -- tags ----------------------------------------------------------------------------------------
+
+# Orders as tagged features: the priority is the lifecycle state, the status the value.
+_ORDER_TAGS = F.map_filter(
+    F.create_map(
+        F.lit("piste:type"), F.when(F.col("o_orderpriority") == "1-URGENT", "proposed").otherwise(F.lower("o_orderstatus")),
+        F.lit("proposed:piste:type"), F.when(F.col("o_orderpriority") == "1-URGENT", F.lower("o_orderstatus")),
+        F.lit("abandoned:piste:type"), F.when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit("x"), F.lower("o_orderstatus"))),
+        F.lit("disused"), F.when(F.col("o_orderpriority") == "3-MEDIUM", "yes"),
+        F.lit("razed"), F.when(F.col("o_orderpriority") == "5-LOW", "yes"),
+    ),
+    lambda k, v: v.isNotNull(),
+)
+
+
+@query(
+    "tags_status_value",
+    """
+    SELECT o_orderkey,
+        CASE o_orderpriority WHEN '5-LOW' THEN NULL WHEN '1-URGENT' THEN 'proposed' WHEN '2-HIGH' THEN 'abandoned'
+            WHEN '3-MEDIUM' THEN 'disused' ELSE 'operating' END AS status,
+        CASE o_orderpriority WHEN '5-LOW' THEN NULL WHEN '2-HIGH' THEN 'x' || lower(o_orderstatus) ELSE lower(o_orderstatus) END AS value
+    FROM orders""",
+)
+def tags_status_value(spark, d):
+    """T1, T2, T19, F2."""
+    s = tags.status_and_value(F.col("t"), "piste:type")
+    return table(spark, d, "orders").select("o_orderkey", _ORDER_TAGS.alias("t")).select("o_orderkey", s["status"].alias("status"), s["value"].alias("value"))
+
+
+def _part_tags(spark, d) -> DataFrame:
+    p = table(spark, d, "part")
+    pairs = {"piste:ref": F.when(F.col("p_size") % 3 == 0, F.col("p_brand")), "loc_ref": F.when(F.col("p_size") % 2 == 0, F.col("p_type")), "ref": F.col("p_name"), "lit": F.when(F.col("p_size") % 5 == 0, "yes").when(F.col("p_size") % 5 == 1, "no"), "occupancy": F.when(F.col("p_size") % 4 == 0, F.col("p_size").cast("string")).when(F.col("p_size") % 4 == 1, "").when(F.col("p_size") % 4 == 2, "many")}
+    flat = [x for k, v in pairs.items() for x in (F.lit(k), v)]
+    return p.select("p_partkey", F.map_filter(F.create_map(*flat), lambda k, v: v.isNotNull()).alias("t"))
+
+
+@query(
+    "tags_first_defined",
+    """
+    SELECT p_partkey,
+        coalesce(CASE WHEN p_size % 3 = 0 THEN p_brand END, CASE WHEN p_size % 2 = 0 THEN p_type END, p_name) AS ref,
+        CASE p_size % 5 WHEN 0 THEN true WHEN 1 THEN false END AS lit,
+        CASE p_size % 4 WHEN 0 THEN p_size::DOUBLE WHEN 1 THEN 0.0::DOUBLE END AS occupancy
+    FROM part""",
+)
+def tags_first_defined(spark, d):
+    """T3-T5, T8, T9."""
+    t = F.col("t")
+    return _part_tags(spark, d).select("p_partkey", tags.ref(t).alias("ref"), tags.boolean(tags.tag(t, "lit")).alias("lit"), tags.number(tags.tag(t, "occupancy")).alias("occupancy"))
+
+
+@query("name_ref_prefix_strip", "SELECT p_partkey, p_name || CASE WHEN p_size % 2 = 0 THEN ', ' || p_type ELSE '' END AS name FROM part")
+def name_ref_prefix_strip(spark, d):
+    """Names of all variants; a leading ref goes."""
+    p = table(spark, d, "part")
+    t = F.map_filter(F.create_map(F.lit("name"), F.concat(F.col("p_brand"), F.lit(" - "), F.col("p_name")), F.lit("name:xx"), F.when(F.col("p_size") % 2 == 0, F.col("p_type"))), lambda k, v: v.isNotNull())
+    return p.select("p_partkey", "p_brand", t.alias("t")).select("p_partkey", tags.name(F.col("t"), "name", None, F.col("p_brand")).alias("name"))
+
+
+@query(
+    "multi_value_explode",
+    """
+    SELECT p_partkey, i - 1 AS pos, u AS use FROM (
+        SELECT p_partkey, unnest(l) AS u, generate_subscripts(l, 1) AS i FROM (
+            SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN ['downhill', 'nordic'] WHEN 1 THEN ['hike'] ELSE []::VARCHAR[] END AS l FROM part))""",
+)
+def multi_value_explode(spark, d):
+    """Known uses, one row each."""
+    v = F.when(F.col("p_size") % 3 == 0, " Downhill; other ;nordic").when(F.col("p_size") % 3 == 1, "hike").otherwise("none")
+    return table(spark, d, "part").select("p_partkey", F.posexplode(tags.run_uses(v)).alias("pos", "use"))
+
+
+@query(
+    "grooming_normalise",
+    """
+    SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'classic+skating' WHEN 1 THEN 'mogul' WHEN 2 THEN 'backcountry' WHEN 3 THEN 'backcountry' END AS grooming,
+        CASE WHEN p_size % 5 = 2 THEN 'expert' END AS difficulty, CASE WHEN p_size % 2 = 0 THEN true END AS gladed
+    FROM part""",
+)
+def grooming_normalise(spark, d):
+    """F4, F6, F7."""
+    n = F.col("p_size") % 5
+    pairs = {"piste:grooming": F.when(n == 0, "skating;classic").when(n == 1, "mogul").when(n == 3, "no"), "piste:difficulty": F.when(n == 2, "expert").when(n == 3, "unknown"), "natural": F.when(F.col("p_size") % 2 == 0, "wood")}
+    flat = [x for k, v in pairs.items() for x in (F.lit(k), v)]
+    t = F.col("t")
+    return table(spark, d, "part").select("p_partkey", F.map_filter(F.create_map(*flat), lambda k, v: v.isNotNull()).alias("t")).select("p_partkey", tags.grooming(t).alias("grooming"), tags.difficulty(t).alias("difficulty"), tags.gladed(t).alias("gladed"))
+
+
+@query("duration_parse", "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN (p_size * 60)::DOUBLE WHEN 1 THEN (p_size * 60 + 30)::DOUBLE END AS seconds FROM part")
+def duration_parse(spark, d):
+    """F10, T18."""
+    n = F.col("p_size").cast("string")
+    v = F.when(F.col("p_size") % 3 == 0, n).when(F.col("p_size") % 3 == 1, F.concat(n, F.lit(":30"))).otherwise("long")
+    return table(spark, d, "part").select("p_partkey", tags.duration_seconds(v).alias("seconds"))
+
+
+# -- geometry ------------------------------------------------------------------------------------
+
+
+def _point(x: Column, y: Column) -> Column:
+    return F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array(x, y))).alias("parts"), F.array(F.lit(0)).alias("poly"))
+
+
+def _lon(k: str, span: int, scale: float, base: float) -> Column:
+    return (F.col(k) * 7919 % span) * scale + base
+
+
+#: Customers and suppliers as points in a degree around (11, 47).
+_CUSTOMER = (_lon("c_custkey", 1000, 0.001, 11.0), (F.col("c_custkey") * 104729 % 1000) * 0.001 + 47.0)
+_SUPPLIER = (_lon("s_suppkey", 1000, 0.001, 11.0), (F.col("s_suppkey") * 1299709 % 1000) * 0.001 + 47.0)
+_SQL_POINTS = """
+    c AS (SELECT c_custkey, (c_custkey * 7919 % 1000) * 0.001::DOUBLE + 11.0::DOUBLE AS x, (c_custkey * 104729 % 1000) * 0.001::DOUBLE + 47.0::DOUBLE AS y FROM customer),
+    s AS (SELECT s_suppkey, (s_suppkey * 7919 % 1000) * 0.001::DOUBLE + 11.0::DOUBLE AS x, (s_suppkey * 1299709 % 1000) * 0.001::DOUBLE + 47.0::DOUBLE AS y FROM supplier)"""
+_SQL_KM = """2 * 6371.0088::DOUBLE * atan2(sqrt(a), sqrt(1 - a))"""
+_SQL_A = """power(sin(radians(s.y - c.y) / 2), 2) + power(sin(radians(s.x - c.x) / 2), 2) * cos(radians(c.y)) * cos(radians(s.y))"""
+
+
+def customers(spark, d) -> DataFrame:
+    return table(spark, d, "customer").select("c_custkey", *(v.alias(n) for n, v in zip("xy", _CUSTOMER, strict=True)))
+
+
+def suppliers(spark, d) -> DataFrame:
+    return table(spark, d, "supplier").select("s_suppkey", *(v.alias(n) for n, v in zip("xy", _SUPPLIER, strict=True)))
+
+
+def _near_pairs(spark, d, km: float) -> DataFrame:
+    """(c_custkey, s_suppkey, km) by the grid join, refined by the great circle."""
+    c = customers(spark, d).withColumn("geometry", _point(F.col("x"), F.col("y")))
+    s = suppliers(spark, d).withColumn("geometry", _point(F.col("x"), F.col("y")))
+    pairs = spatial.candidates(c.select(F.col("c_custkey").alias("lkey"), "geometry"), s.select(F.col("s_suppkey").alias("rkey"), "geometry"), km * 1010)
+    both = pairs.join(c.select(F.col("c_custkey").alias("lkey"), F.col("x").alias("cx"), F.col("y").alias("cy")), "lkey").join(s.select(F.col("s_suppkey").alias("rkey"), F.col("x").alias("sx"), F.col("y").alias("sy")), "rkey")
+    return both.select(F.col("lkey").alias("c_custkey"), F.col("rkey").alias("s_suppkey"), geo.haversine_km(F.col("cx"), F.col("cy"), F.col("sx"), F.col("sy")).alias("km")).where(F.col("km") <= km)
+
+
+@query(
+    "distance_join_haversine",
+    f"WITH {_SQL_POINTS}, p AS (SELECT c_custkey, s_suppkey, {_SQL_A} AS a FROM c, s) SELECT c_custkey, s_suppkey, round({_SQL_KM}, 6) AS km FROM p WHERE {_SQL_KM} <= 2.5",
+)
+def distance_join_haversine(spark, d):
+    """Pairs within 2.5 km through the grid."""
+    return _near_pairs(spark, d, 2.5).select("c_custkey", "s_suppkey", r6(F.col("km")).alias("km"))
+
+
+@query(
+    "nearest_with_tiebreak",
+    f"""WITH {_SQL_POINTS}, p AS (SELECT c_custkey, s_suppkey, {_SQL_A} AS a FROM c, s), k AS (SELECT c_custkey, s_suppkey, round({_SQL_KM}, 6) AS km FROM p WHERE {_SQL_KM} <= 20)
+    SELECT c_custkey, s_suppkey, km FROM k QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY km, s_suppkey) = 1""",
+)
+def nearest_with_tiebreak(spark, d):
+    """Nearest within 20 km; ties go to the lower key."""
+    best = _near_pairs(spark, d, 20.0).groupBy("c_custkey").agg(F.min(F.struct(r6(F.col("km")).alias("km"), "s_suppkey")).alias("b"))
+    return best.select("c_custkey", "b.s_suppkey", "b.km")
+
+
+@query(
+    "bbox_contains",
+    f"""WITH {_SQL_POINTS}, b AS (SELECT n_nationkey, 11 + (n_nationkey % 5) * 0.2::DOUBLE AS w, 47 + (n_nationkey // 5) * 0.2::DOUBLE AS s FROM nation)
+    SELECT n_nationkey, count(*) AS n FROM c JOIN b ON c.x > w AND c.x < w + 0.2 AND c.y > b.s AND c.y < b.s + 0.2 GROUP BY n_nationkey""",
+)
+def bbox_contains(spark, d):
+    """S10, J3 for boxes: equi-join on the box that a point can be in, then strict bounds."""
+    b = table(spark, d, "nation").select("n_nationkey", (F.lit(11) + (F.col("n_nationkey") % 5) * 0.2).alias("w"), (F.lit(47) + F.floor(F.col("n_nationkey") / 5) * 0.2).alias("s"), (F.col("n_nationkey") % 5).cast("int").alias("i"), F.floor(F.col("n_nationkey") / 5).cast("int").alias("j"))
+    near = lambda v: F.array(F.floor(v / 0.2).cast("int"), (F.floor(v / 0.2) - 1).cast("int"), (F.floor(v / 0.2) + 1).cast("int"))
+    c = customers(spark, d).select("x", "y", F.explode(near(F.col("x") - 11)).alias("i"), near(F.col("y") - 47).alias("js")).select("x", "y", "i", F.explode("js").alias("j"))
+    inside = c.join(b, ["i", "j"]).where("x > w and x < w + 0.2 and y > s and y < s + 0.2")
+    return inside.groupBy("n_nationkey").agg(F.count("*").alias("n"))
+
+
+_ID = ids.feature_id("run", _point(F.col("c_custkey").cast("double"), F.lit(47.0)))
+
+
+def _id_sql() -> str:
+    """The canonical text around a point's coordinates, as literals."""
+    mark = "\0"
+    inner = ids._object([("coordinates", mark), ("type", "string:5:Point")], first=False)
+    outer = ids._object([("geometry", inner), ("properties", ids._object([("type", "string:3:run")], first=False)), ("type", "string:7:Feature")], first=True)
+    head, tail = outer.split(mark)
+    return f"SELECT c_custkey, sha1('{head}array:2:number:' || c_custkey || 'number:47' || '{tail}') AS feature_id FROM customer"
+
+
+@query("feature_id_sha1", _id_sql())
+def feature_id_sha1(spark, d):
+    """F22."""
+    return table(spark, d, "customer").select("c_custkey", _ID.alias("feature_id"))
+
+
+@query(
+    "web_mercator_tile",
+    f"""WITH {_SQL_POINTS}, t AS (SELECT c_custkey, (x / 360 + 0.5) * 1024 AS tx, (0.5 - ln((1 + sin(radians(y))) / (1 - sin(radians(y)))) / (4 * pi())) * 1024 AS ty FROM c)
+    SELECT c_custkey, floor(tx)::INTEGER AS x, floor(ty)::INTEGER AS y, round((tx - floor(tx)) * 256, 6) AS px, round((ty - floor(ty)) * 256, 6) AS py FROM t""",
+)
+def web_mercator_tile(spark, d):
+    """E6."""
+    return customers(spark, d).select("c_custkey", geo.tile_pixel(F.col("x"), F.col("y"), 10, 256).alias("t")).select("c_custkey", "t.x", "t.y", r6(F.col("t.px")).alias("px"), r6(F.col("t.py")).alias("py"))
+
+
+@query(
+    "bilinear",
+    f"""WITH {_SQL_POINTS}, w AS (SELECT c_custkey, x - floor(x) AS dx, y - floor(y) AS dy, c_custkey % 97 AS v FROM c)
+    SELECT c_custkey, round(v * (1 - dx) * (1 - dy) + (v + 1) * dx * (1 - dy) + (v + 2) * (1 - dx) * dy + (v + 3) * dx * dy, 6) AS value,
+        round(-10000 + (v * 65536 + 3 * 256 + 7) * 0.1::DOUBLE, 6) AS mapbox, round(v * 256 + 3 + 7 / 256 - 32768, 6) AS terrarium FROM w""",
+)
+def bilinear(spark, d):
+    """E8."""
+    v = (F.col("c_custkey") % 97).cast("double")
+    dx, dy = F.col("x") - F.floor("x"), F.col("y") - F.floor("y")
+    return customers(spark, d).select("c_custkey", r6(geo.bilinear(v, v + 1, v + 2, v + 3, dx, dy)).alias("value"), r6(geo.decode_mapbox(v, F.lit(3.0), F.lit(7.0))).alias("mapbox"), r6(geo.decode_terrarium(v, F.lit(3.0), F.lit(7.0))).alias("terrarium"))
+
+
+@query(
+    "sinusoidal_pixel",
+    f"""WITH {_SQL_POINTS}, m AS (SELECT c_custkey, 6371007.181::DOUBLE * radians(x) * cos(radians(y)) + 20015109.354::DOUBLE AS gx, 10007554.677::DOUBLE - 6371007.181::DOUBLE * radians(y) AS gy FROM c),
+    t AS (SELECT *, floor(gx / 1111950.519667::DOUBLE) AS h, floor(gy / 1111950.519667::DOUBLE) AS v FROM m)
+    SELECT c_custkey, h::INTEGER AS h, v::INTEGER AS v, least(floor((gy - v * 1111950.519667::DOUBLE) / 375), 2999)::INTEGER AS row_index, least(floor((gx - h * 1111950.519667::DOUBLE) / 375), 2999)::INTEGER AS col_index FROM t""",
+)
+def sinusoidal_pixel(spark, d):
+    """V1, V3."""
+    s = geo.sinusoidal(F.col("x"), F.col("y"))
+    return customers(spark, d).select("c_custkey", s.alias("s")).select("c_custkey", geo.grid_pixel(F.col("s.x"), F.col("s.y")).alias("g")).select("c_custkey", "g.h", "g.v", F.col("g.row").alias("row_index"), F.col("g.col").alias("col_index"))
+
+
+@query(
+    "geohash_bits",
+    f"""WITH {_SQL_POINTS}, b AS (SELECT c_custkey, floor((x + 180) / 360 * 32768)::BIGINT AS i, floor((y + 90) / 180 * 32768)::BIGINT AS j FROM c),
+    g AS (SELECT c_custkey, unnest(range(0, 6)) AS k, i, j FROM b),
+    v AS (SELECT c_custkey, k, (SELECT sum(((CASE WHEN (k * 5 + o) % 2 = 0 THEN i >> (14 - (k * 5 + o) // 2) ELSE j >> (14 - (k * 5 + o) // 2) END) & 1) << (4 - o)) FROM range(0, 5) t(o)) AS d FROM g)
+    SELECT c_custkey, string_agg(substr('0123456789bcdefghjkmnpqrstuvwxyz', d::INTEGER + 1, 1), '' ORDER BY k) AS geohash FROM v GROUP BY c_custkey""",
+)
+def geohash_bits(spark, d):
+    """Key of the place table."""
+    return customers(spark, d).select("c_custkey", geo.geohash(F.col("x"), F.col("y"), 6).alias("geohash"))
+
+
+# -- joins and nesting ---------------------------------------------------------------------------
+
+
+@query(
+    "summary_nesting",
+    "SELECT c_custkey, count(o_orderkey) AS n, coalesce(string_agg(o_orderkey || ':' || o_orderstatus, ';' ORDER BY o_orderkey), '') AS orders FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey",
+)
+def summary_nesting(spark, d):
+    """Nested summaries in key order."""
+    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("l"))
+    c = table(spark, d, "customer").select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    text = F.array_join(F.transform("l", lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["o_orderstatus"])), ";")
+    return c.select("c_custkey", F.coalesce(F.size("l"), F.lit(0)).cast("long").alias("n"), F.coalesce(text, F.lit("")).alias("orders"))
+
+
+@query(
+    "site_membership_join",
+    "SELECT o_orderkey, string_agg(DISTINCT 's' || lpad(l_suppkey::VARCHAR, 6, '0'), ',' ORDER BY 's' || lpad(l_suppkey::VARCHAR, 6, '0')) AS sites FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey",
+)
+def site_membership_join(spark, d):
+    """Sites listing a feature's source, by explode and equi-join."""
+    features = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.array(F.struct(F.lit("openstreetmap").alias("type"), F.concat(F.lit("way/"), F.col("o_orderkey").cast("string")).alias("id"))).alias("sources"), F.array().cast("array<string>").alias("skiAreas"))
+    members = table(spark, d, "lineitem").select(F.concat(F.lit("way/"), F.col("l_orderkey").cast("string")).alias("member"), F.concat(F.lit("s"), F.lpad(F.col("l_suppkey").cast("string"), 6, "0")).alias("site")).distinct()
+    out = relational.attach_sites(features, members)
+    return out.where(F.size("skiAreas") > 0).select(F.col("id").cast("long").alias("o_orderkey"), F.array_join("skiAreas", ",").alias("sites"))
+
+
+@query("anti_unassigned", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def anti_unassigned(spark, d):
+    """J11."""
+    return relational.without(table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+
+
+@query("semi_ids", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 100000)")
+def semi_ids(spark, d):
+    """S15, S16."""
+    wanted = table(spark, d, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").select("c_custkey", "c_mktsegment").join(wanted, "c_custkey", "left_semi")
+
+
+def _chains(spark, d) -> DataFrame:
+    """Edges of order numbers: chains of up to 100 that lack some links."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"))
+    return o.where("k % 100 <> 0 and k % 7 <> 0").select(F.col("k").alias("src"), (F.col("k") + 1).alias("dst"))
+
+
+_SQL_CHAINS = """e AS (SELECT o_orderkey AS a, o_orderkey + 1 AS b FROM orders WHERE o_orderkey % 100 <> 0 AND o_orderkey % 7 <> 0),
+    n AS (SELECT a AS k FROM e UNION SELECT b FROM e),
+    g AS (SELECT k, sum(CASE WHEN EXISTS (SELECT 1 FROM e WHERE e.b = n.k) THEN 0 ELSE 1 END) OVER (ORDER BY k) AS i FROM n),
+    p AS (SELECT k AS node, min(k) OVER (PARTITION BY i) AS component FROM g)"""
+
+
+@query("connected_components", f"WITH {_SQL_CHAINS} SELECT node, component FROM p")
+def connected_components_query(spark, d):
+    """Components of the proximity graph."""
+    return connected_components(_chains(spark, d)).select("node", "component")
+
+
+@query("greedy_assign_min_key", f"WITH {_SQL_CHAINS} SELECT component AS area, count(*) AS members, max(node) AS last FROM p GROUP BY component")
+def greedy_assign_min_key(spark, d):
+    """C7 where all share one activity: the first area of a component takes it."""
+    parts = connected_components(_chains(spark, d))
+    return parts.groupBy(F.col("component").alias("area")).agg(F.count("*").alias("members"), F.max("node").alias("last"))
+
+
+@query(
+    "removal_ratio_rule",
+    "SELECT o_custkey AS area, round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) / sum(o_totalprice), 6) AS share FROM orders GROUP BY o_custkey HAVING sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END) / sum(o_totalprice) > 0.5",
+)
+def removal_ratio_rule(spark, d):
+    """C8."""
+    part = F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
+    per = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("area")).agg((part / F.sum("o_totalprice")).alias("share"))
+    return per.where("share > 0.5").select("area", r6(F.col("share")).alias("share"))
+
+
+# -- reducers ------------------------------------------------------------------------------------
+
+_LEVELS = F.get(F.array(*map(F.lit, ("easy", "novice", "expert", "intermediate", "none"))), F.substring("o_orderpriority", 1, 1).cast("int") - 1)
+
+
+@query(
+    "priority_reduce",
+    "SELECT o_custkey, arg_min(v, r) FILTER (r IS NOT NULL) AS difficulty FROM (SELECT o_custkey, ['easy', 'novice', 'expert', 'intermediate', NULL][o_orderpriority[1]::INTEGER] AS v, [2, 1, 5, 3, NULL][o_orderpriority[1]::INTEGER] AS r FROM orders) GROUP BY o_custkey",
+)
+def priority_reduce(spark, d):
+    """A8, A9."""
+    return table(spark, d, "orders").groupBy("o_custkey").agg(reduce.priority_agg(F.when(_LEVELS != "none", _LEVELS), "difficulty").alias("difficulty"))
+
+
+@query("unique_join", "SELECT l_orderkey, string_agg(DISTINCT l_returnflag || l_linestatus, ', ' ORDER BY l_returnflag || l_linestatus) AS modes FROM lineitem GROUP BY l_orderkey")
+def unique_join(spark, d):
+    """A11-A16."""
+    per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.concat("l_returnflag", "l_linestatus"))).alias("m"))
+    return per.select("l_orderkey", reduce.unique_joined(F.col("m")).alias("modes"))
+
+
+@query("oneway_and", "SELECT l_orderkey, bool_and(CASE l_returnflag WHEN 'N' THEN true WHEN 'R' THEN false END) AS oneway FROM lineitem GROUP BY l_orderkey")
+def oneway_and(spark, d):
+    """A10: true only if all known values are."""
+    v = F.when(F.col("l_returnflag") == "N", True).when(F.col("l_returnflag") == "R", False)
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.bool_and(v).alias("oneway"))
+
+
+def _line_runs(spark, d) -> DataFrame:
+    """Line items as runs of two positions; quantity and discount make the elevations."""
+    x, y = (F.col("l_partkey") % 360 - 180).cast("double"), (F.col("l_suppkey") % 120 - 60).cast("double")
+    z0, z1 = F.col("l_quantity") * 10, F.col("l_linenumber") * 100.0
+    geometry = F.struct(F.lit("LineString").alias("type"), F.array(F.array(F.array(x, y, z0), F.array(x, y + 0.01, z1))).alias("parts"), F.array(F.lit(0)).alias("poly"))
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("ski_area"), geometry.alias("geometry"), F.when(F.col("l_returnflag") == "N", F.array(F.lit("nordic"))).when(F.col("l_returnflag") == "R", F.array(F.lit("downhill"), F.lit("nordic"))).otherwise(F.array(F.lit("downhill"))).alias("activities"), F.when(F.col("l_linestatus") == "F", "easy").alias("difficulty"), (F.col("l_tax") > 0.04).alias("snowmaking"), F.lit(None).cast("boolean").alias("snowfarming"), F.lit("run").alias("type"), F.lit(None).cast("string").alias("lift_type"))
+
+
+@query(
+    "nested_statistics",
+    """
+    WITH l AS (SELECT l_suppkey::VARCHAR AS ski_area, unnest(CASE l_returnflag WHEN 'N' THEN ['nordic'] WHEN 'R' THEN ['downhill', 'nordic'] ELSE ['downhill'] END) AS activity,
+            CASE WHEN l_linestatus = 'F' THEN 'easy' ELSE 'other' END AS difficulty, l_quantity * 10 AS z0, l_linenumber * 100.0::DOUBLE AS z1, l_tax > 0.04 AS snowmaking,
+            2 * 6371.0088::DOUBLE * asin(sin(radians(0.01::DOUBLE) / 2)) AS km FROM lineitem)
+    SELECT ski_area, activity, difficulty, count(*) AS "count", round(sum(km), 6) AS "lengthInKm", min(nullif(least(z0, z1), 0)) AS "minElevation", max(nullif(greatest(z0, z1), 0)) AS "maxElevation",
+        round(sum(abs(nullif(z1 - z0, 0))), 6) AS "combinedElevationChange", round(sum(CASE WHEN snowmaking THEN km ELSE 0 END), 6) AS "snowmakingLengthInKm"
+    FROM l GROUP BY ALL""",
+)
+def nested_statistics(spark, d):
+    """A1-A5: sums by area, activity and difficulty; zero elevations count as missing."""
+    s = statistics.run_statistics(_line_runs(spark, d))
+    keep = {c: r6(F.col(c)) for c in ("lengthInKm", "combinedElevationChange", "snowmakingLengthInKm")}
+    return s.withColumns(keep).select("ski_area", "activity", "difficulty", "count", "lengthInKm", "minElevation", "maxElevation", "combinedElevationChange", "snowmakingLengthInKm")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    """Nested statistics over clustered synthetic areas: components of line items, then A1."""
+    runs = _line_runs(spark, sf_dir)
+    edges = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).alias("src"), (F.col("l_suppkey") % 50 - F.col("l_suppkey") % 10).alias("dst"))
+    areas = connected_components(edges).select(F.col("node"), F.concat(F.lit("area-"), F.col("component").cast("string")).alias("area"))
+    placed = runs.join(areas, (F.col("ski_area").cast("long") % 50) == F.col("node")).withColumn("ski_area", F.col("area"))
+    return statistics.run_statistics(placed)
+
+
+# -- topology ------------------------------------------------------------------------------------
+
+
+@query(
+    "gaps_and_islands",
+    """
+    WITH e AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p, ts FROM events),
+    g AS (SELECT *, sum(CASE WHEN p IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM e)
+    SELECT user_id, island::BIGINT AS island, any_value(event_type) AS event_type, count(*) AS n, min(event_id) AS first_event FROM g GROUP BY user_id, island""",
+)
+def gaps_and_islands(spark, d):
+    """Maximal runs of consecutive equal values."""
+    w = W.partitionBy("user_id").orderBy("ts", "event_id")
+    e = table(spark, d, "events").withColumn("p", F.lag("event_type").over(w))
+    g = e.withColumn("island", F.sum(F.when(F.col("p").eqNullSafe(F.col("event_type")), 0).otherwise(1)).over(w))
+    return g.groupBy("user_id", "island").agg(F.first("event_type").alias("event_type"), F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+
+
+@query(
+    "endpoint_chain_join",
+    """
+    WITH e AS (SELECT l_orderkey, l_linenumber, printf('%.7f', l_linenumber::DOUBLE) || '-' || l_orderkey AS head, printf('%.7f', (l_linenumber + 1)::DOUBLE) || '-' || l_orderkey AS tail FROM lineitem)
+    SELECT a.l_orderkey, a.l_linenumber AS before, b.l_linenumber AS after FROM e a JOIN e b ON a.tail = b.head""",
+)
+def endpoint_chain_join(spark, d):
+    """Lines that begin where another ends, by rounded end points."""
+    end = lambda n: F.concat_ws("-", F.format_string("%.7f", n.cast("double")), F.col("l_orderkey").cast("string"))
+    e = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", end(F.col("l_linenumber")).alias("head"), end(F.col("l_linenumber") + 1).alias("tail"))
+    a, b = e.select("l_orderkey", F.col("l_linenumber").alias("before"), "tail"), e.select(F.col("l_linenumber").alias("after"), "head")
+    return a.join(b, F.col("tail") == F.col("head")).select("l_orderkey", "before", "after")
+
+
+# -- time series ---------------------------------------------------------------------------------
+
+
+def _weeks(spark, d) -> DataFrame:
+    """Events as weekly pixel values: (tile, row, col, year, week, snow, persistence)."""
+    return table(spark, d, "events").select(F.lit("h18v04").alias("tile"), (F.col("user_id") % 50).cast("int").alias("row"), F.lit(0).alias("col"), F.year("ts").alias("year"), (F.floor((F.dayofyear("ts") - 1) / 7) + 1).cast("int").alias("week"), (F.col("event_id") % 120).cast("int").alias("snow"), (F.col("event_id") % 4).cast("int").alias("persistence"))
+
+
+_SQL_WEEKS = """w AS (SELECT 'h18v04' AS tile, (user_id % 50)::INTEGER AS r, 0 AS c, year(ts) AS y, ((dayofyear(ts) - 1) // 7 + 1)::INTEGER AS week, (event_id % 120)::INTEGER AS snow, (event_id % 4)::INTEGER AS persistence FROM events),
+    k AS (SELECT *, make_date(y, 1, 1) + ((week - 1) * 7 - persistence)::INTEGER AS day FROM w WHERE snow <= 100)"""
+
+
+@query("week_to_day", f"WITH {_SQL_WEEKS} SELECT DISTINCT y AS year, week, persistence, year(day) AS actual_year, dayofyear(day) AS day_of_year FROM k")
+def week_to_day(spark, d):
+    """V6, V13."""
+    date = snow.week_date(F.col("year"), F.col("week"), F.col("persistence"))
+    return _weeks(spark, d).where(snow.is_valid(F.col("snow"))).select(F.col("year").cast("long").alias("year"), "week", "persistence", F.year(date).cast("long").alias("actual_year"), F.dayofyear(date).cast("long").alias("day_of_year")).distinct()
+
+
+@query(
+    "missing_weeks",
+    """
+    WITH p AS (SELECT DISTINCT (user_id % 50)::INTEGER AS r FROM events), d AS (SELECT unnest(generate_series(DATE '2023-11-01', DATE '2024-03-01', INTERVAL 7 DAY))::DATE AS day),
+    h AS (SELECT DISTINCT (user_id % 50)::INTEGER AS r, year(ts) AS y, (dayofyear(ts) - 1) // 7 AS w FROM events WHERE event_id % 3 = 0)
+    SELECT p.r AS row_index, strftime(day, '%Y-%m-%d') AS day FROM p, d WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.r = p.r AND h.y = year(day) AND h.w = (dayofyear(day) - 1) // 7)""",
+)
+def missing_weeks(spark, d):
+    """Weekly dates that a pixel has no value for."""
+    weeks = _weeks(spark, d)
+    have = table(spark, d, "events").where("event_id % 3 = 0").select(F.lit("h18v04").alias("tile"), (F.col("user_id") % 50).cast("int").alias("row"), F.lit(0).alias("col"), F.year("ts").alias("year"), (F.floor((F.dayofyear("ts") - 1) / 7) + 1).cast("int").alias("week"), F.lit(1).alias("snow"))
+    out = snow.missing_weeks(snow.existing_pixels(weeks), have, "2023-11-01", "2024-03-01")
+    return out.select(F.col("row").alias("row_index"), F.date_format("date", "yyyy-MM-dd").alias("day"))
+
+
+@query(
+    "daily_best_measurement",
+    f"WITH {_SQL_WEEKS}, b AS (SELECT r, day, min({{'p': persistence, 's': snow}}) AS m FROM k GROUP BY r, day) SELECT r AS row_index, strftime(day, '%Y-%m-%d') AS day, m.s AS snow FROM b",
+)
+def daily_best_measurement(spark, d):
+    """V7: least persistence wins a day (ties here: the lower value)."""
+    dated = _weeks(spark, d).where(snow.is_valid(F.col("snow"))).withColumn("date", snow.week_date(F.col("year"), F.col("week"), F.col("persistence")))
+    best = dated.groupBy("row", "date").agg(F.min_by("snow", F.struct("persistence", "snow")).alias("snow"))
+    return best.select(F.col("row").alias("row_index"), F.date_format("date", "yyyy-MM-dd").alias("day"), "snow")
+
+
+@query(
+    "history_aggregate",
+    f"""WITH {_SQL_WEEKS}, b AS (SELECT r, day, min({{'p': persistence, 's': snow}}).s AS s FROM k GROUP BY r, day),
+    t AS (SELECT r % 5 AS area, count(DISTINCT r) AS pixels FROM b GROUP BY 1)
+    SELECT (b.r % 5)::INTEGER AS area, year(day) AS year, dayofyear(day) AS day, floor(avg(s) + 0.5)::INTEGER AS snow, floor(count(*) * 100 / any_value(pixels) + 0.5)::INTEGER AS valid_percent
+    FROM b JOIN t ON t.area = b.r % 5 GROUP BY ALL""",
+)
+def history_aggregate(spark, d):
+    """Daily means of an area's pixels, and the share of pixels measured."""
+    dated = _weeks(spark, d).where(snow.is_valid(F.col("snow"))).withColumn("date", snow.week_date(F.col("year"), F.col("week"), F.col("persistence")))
+    days = dated.groupBy("tile", "row", "col", "date").agg(F.min_by("snow", F.struct("persistence", "snow")).alias("snow")).select("tile", "row", "col", F.year("date").alias("year"), F.dayofyear("date").alias("day"), "snow")
+    areas = snow.existing_pixels(_weeks(spark, d)).withColumn("area", (F.col("row") % 5).cast("int"))
+    return snow.history(areas, days, ["area"]).select("area", F.col("year").cast("long").alias("year"), F.col("day").cast("long").alias("day"), "snow", "valid_percent")
+
+
+# -- caches and unions ---------------------------------------------------------------------------
+
+
+@query(
+    "cache_lookup_ttl",
+    "SELECT c_custkey, h.event_id IS NOT NULL AS hit, h.value AS value FROM customer LEFT JOIN (SELECT event_id, round(value, 6) AS value FROM events WHERE event_id > 500) h ON h.event_id = c_custkey",
+)
+def cache_lookup_ttl(spark, d):
+    """Entries past their time are misses."""
+    cache = table(spark, d, "events").select(F.col("event_id").alias("key"), r6(F.col("value")).alias("value"), F.col("event_id").alias("timestamp"))
+    return relational.lookup(table(spark, d, "customer").select("c_custkey"), cache, "c_custkey", 1000, 500).select("c_custkey", "hit", "value")
+
+
+@query("union_first_wins", "SELECT c_custkey, c_mktsegment AS v FROM customer WHERE c_custkey % 3 <> 0 UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 = 0")
+def union_first_wins(spark, d):
+    """U3, U4."""
+    c = table(spark, d, "customer")
+    first, rest = c.where("c_custkey % 3 <> 0").select("c_custkey", F.col("c_mktsegment").alias("v")), c.select("c_custkey", F.col("c_name").alias("v"))
+    return relational.union_first_wins([first, rest], ["c_custkey"])
+
+
+@query("union_all_dirs", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0")
+def union_all_dirs(spark, d):
+    """U1, U2, P11."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return algebra.merge(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"))
+
+
+@query("upsert_last_wins", "SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS status, max(o_orderkey) AS last FROM orders GROUP BY o_custkey")
+def upsert_last_wins(spark, d):
+    """The last of each key, over a base and two lots of updates."""
+    o = table(spark, d, "orders").select("o_custkey", F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("last"))
+    # Earlier rows are the base here; among rows alike in age the later order wins.
+    return relational.upsert(o.where("false"), o, ["o_custkey"], "last").select("o_custkey", "status", "last")
+
+
+@query(
+    "delete_cascade",
+    "SELECT l_orderkey, coalesce(string_agg(DISTINCT l_suppkey::VARCHAR, ',' ORDER BY l_suppkey::VARCHAR) FILTER (l_suppkey % 4 <> 0), '') AS areas FROM lineitem GROUP BY l_orderkey",
+)
+def delete_cascade(spark, d):
+    """Deleted keys leave every list."""
+    o = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))).alias("ski_areas"))
+    objects = o.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("key"), "ski_areas", "l_orderkey")
+    gone = table(spark, d, "supplier").where("s_suppkey % 4 = 0").select(F.col("s_suppkey").cast("string").alias("key"))
+    return relational.delete_cascade(objects, gone).select("l_orderkey", F.array_join("ski_areas", ",").alias("areas"))
+
+
+# -- outputs -------------------------------------------------------------------------------------
+
+
+@query(
+    "csv_escape",
+    """SELECT doc_id, CASE WHEN regexp_matches(v, '[,"\\n\\r;]') THEN '"' || replace(v, '"', '""') || '"' ELSE coalesce(v, '') END AS cell FROM (SELECT doc_id, text AS v FROM documents)""",
+)
+def csv_escape(spark, d):
+    """T11."""
+    return table(spark, d, "documents").select("doc_id", csvtext.escape(F.col("text")).alias("cell"))
+
+
+@query(
+    "csv_row",
+    """SELECT p_partkey, p_name || ',' || CASE WHEN p_size % 2 = 0 THEN 'yes' ELSE 'no' END || ',,' || '"' || least(p_brand, p_name) || ';' || greatest(p_brand, p_name) || '"' || ',' || 'https://openskimap.org/?obj=' || p_partkey AS line FROM part""",
+)
+def csv_row(spark, d):
+    """F32, T12-T14."""
+    cells = [csvtext.escape(F.col("p_name")), csvtext.yes_no(F.col("p_size") % 2 == 0), F.lit(None).cast("string"), csvtext.list_cell(F.array("p_name", "p_brand", "p_brand")), csvtext.feature_url(F.col("p_partkey").cast("string"))]
+    return table(spark, d, "part").select("p_partkey", csvtext.row(cells).alias("line"))
+
+
+@query(
+    "mapbox_use_offset",
+    """WITH u AS (SELECT DISTINCT l_orderkey, CASE l_linenumber WHEN 1 THEN 'downhill' WHEN 2 THEN 'nordic' WHEN 3 THEN 'skitour' ELSE 'other' END AS use FROM lineitem)
+    SELECT l_orderkey, use, (row_number() OVER (PARTITION BY l_orderkey ORDER BY use) - 1 - (count(*) OVER (PARTITION BY l_orderkey) - 1) / 2)::DOUBLE AS "offset" FROM u""",
+)
+def mapbox_use_offset(spark, d):
+    """F24, F30."""
+    m = F.col("l_linenumber")
+    use = F.when(m == 1, "downhill").when(m == 2, "nordic").when(m == 3, "skitour").otherwise("hike")
+    per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set(use).alias("uses"))
+    return per.select("l_orderkey", F.explode(export.use_offsets(F.col("uses"))).alias("use", "offset"))
+
+
+@query("short_name", "SELECT p_partkey, CASE WHEN length(v) > 20 THEN trim(split_part(v, '(', 1)) ELSE v END AS short FROM (SELECT p_partkey, p_name || ' (' || p_type || ')' AS v FROM part)")
+def short_name(spark, d):
+    """F28."""
+    return table(spark, d, "part").select("p_partkey", export.short_name(F.concat(F.col("p_name"), F.lit(" ("), F.col("p_type"), F.lit(")"))).alias("short"))
+
+
+@query("name_with_ref", "SELECT p_partkey, nullif(concat_ws(' - ', CASE WHEN p_size % 2 = 0 THEN p_brand END, CASE WHEN p_size % 3 = 0 THEN p_name END), '') AS name FROM part")
+def name_with_ref(spark, d):
+    """F29."""
+    return table(spark, d, "part").select("p_partkey", export.name_with_ref(F.when(F.col("p_size") % 3 == 0, F.col("p_name")), F.when(F.col("p_size") % 2 == 0, F.col("p_brand"))).alias("name"))
+
+
+@query("js_rounding", "SELECT o_orderkey, floor(-o_totalprice / 10 + 0.5)::BIGINT AS whole, floor(o_totalprice * 10 + 0.5) / 10 AS tenth FROM orders")
+def js_rounding(spark, d):
+    """T16."""
+    return table(spark, d, "orders").select("o_orderkey", js_round(-F.col("o_totalprice") / 10).alias("whole"), (js_round(F.col("o_totalprice") * 10) / 10).alias("tenth"))

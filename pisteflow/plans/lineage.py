@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,19 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def whole_structs(spark: SparkSession):
+    """While tables are written here, struct columns aren't taken apart between operators.
+
+    The optimizer's aliasing of nested fields can lose one of them where a struct is filtered on
+    one field and exploded by another; scans still read only the fields that are used.
+    """
+    key = "spark.sql.optimizer.expression.nestedPruning.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
