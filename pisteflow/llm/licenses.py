@@ -31,8 +31,9 @@ from pisteflow.llm import textkernels as tk
 GRAM, WINDOW = 16, 6
 #: Share of a template's words that a finding covers at least.
 COVERAGE = 0.8
-#: Words by which an alignment may leave the diagonal of its candidate.
-BAND = 12
+#: Words by which an alignment may leave the diagonal of its candidate: a quarter of the template,
+#: within these bounds, so that the next copy of a short notice is no part of it.
+BAND = (1, 12)
 
 #: Notices by name. Texts are those that their licences ask for, and common one-line forms.
 TEMPLATES = {
@@ -162,15 +163,16 @@ def scan_text(raw: bytes, hits: list[tuple[int, int]], index: Index, coverage: f
     k = 0
     while k < len(hits):
         t, d = hits[k]
+        band = min(max(BAND[0], len(index.words[t]) // 4), BAND[1])
         stop = d
-        while k < len(hits) and hits[k][0] == t and hits[k][1] - stop <= BAND:
+        while k < len(hits) and hits[k][0] == t and hits[k][1] - stop <= band:
             stop = hits[k][1]
             k += 1
         # A region of many near diagonals is taken in steps of a band.
-        for centre in range(d + min(BAND, (stop - d) // 2), stop + BAND, 2 * BAND) if stop > d else (d,):
-            base = max(0, centre - BAND)
-            part = words[base : centre + len(index.words[t]) + BAND + 1]
-            m, first, last = align(part, index.words[t], centre - base, BAND)
+        for centre in range(d + min(band, (stop - d) // 2), stop + band, 2 * band) if stop > d else (d,):
+            base = max(0, centre - band)
+            part = words[base : centre + len(index.words[t]) + band + 1]
+            m, first, last = align(part, index.words[t], centre - base, band)
             share = m / len(index.words[t])
             if share >= coverage:
                 found.append((m, share, index.names[t], base + first, base + last))
