@@ -46,12 +46,14 @@ def whole_structs(spark: SparkSession):
     """While tables are written here, struct columns aren't taken apart between operators.
 
     The optimizer's aliasing of nested fields can lose one of them where a struct is filtered on
-    one field and exploded by another; scans still read only the fields that are used.
+    one field and exploded by another.
     """
-    key = "spark.sql.optimizer.expression.nestedPruning.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
+    keys = ("spark.sql.optimizer.expression.nestedPruning.enabled", "spark.sql.optimizer.nestedSchemaPruning.enabled")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "false")
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
