@@ -44,17 +44,18 @@ def r6(x: Column) -> Column:
 
 # -- tags ----------------------------------------------------------------------------------------
 
-# Orders as tagged features: the priority is the lifecycle state, the status the value.
-_ORDER_TAGS = F.map_filter(
-    F.create_map(
-        F.lit("piste:type"), F.when(F.col("o_orderpriority") == "1-URGENT", "proposed").otherwise(F.lower("o_orderstatus")),
-        F.lit("proposed:piste:type"), F.when(F.col("o_orderpriority") == "1-URGENT", F.lower("o_orderstatus")),
-        F.lit("abandoned:piste:type"), F.when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit("x"), F.lower("o_orderstatus"))),
-        F.lit("disused"), F.when(F.col("o_orderpriority") == "3-MEDIUM", "yes"),
-        F.lit("razed"), F.when(F.col("o_orderpriority") == "5-LOW", "yes"),
-    ),
-    lambda k, v: v.isNotNull(),
-)
+def _order_tags() -> Column:
+    """Orders as tagged features: the priority is the lifecycle state, the status the value."""
+    return F.map_filter(
+        F.create_map(
+            F.lit("piste:type"), F.when(F.col("o_orderpriority") == "1-URGENT", "proposed").otherwise(F.lower("o_orderstatus")),
+            F.lit("proposed:piste:type"), F.when(F.col("o_orderpriority") == "1-URGENT", F.lower("o_orderstatus")),
+            F.lit("abandoned:piste:type"), F.when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit("x"), F.lower("o_orderstatus"))),
+            F.lit("disused"), F.when(F.col("o_orderpriority") == "3-MEDIUM", "yes"),
+            F.lit("razed"), F.when(F.col("o_orderpriority") == "5-LOW", "yes"),
+        ),
+        lambda k, v: v.isNotNull(),
+    )
 
 
 @query(
@@ -69,7 +70,7 @@ _ORDER_TAGS = F.map_filter(
 def tags_status_value(spark, d):
     """T1, T2, T19, F2."""
     s = tags.status_and_value(F.col("t"), "piste:type")
-    return table(spark, d, "orders").select("o_orderkey", _ORDER_TAGS.alias("t")).select("o_orderkey", s["status"].alias("status"), s["value"].alias("value"))
+    return table(spark, d, "orders").select("o_orderkey", _order_tags().alias("t")).select("o_orderkey", s["status"].alias("status"), s["value"].alias("value"))
 
 
 def _part_tags(spark, d) -> DataFrame:
@@ -146,13 +147,12 @@ def _point(x: Column, y: Column) -> Column:
     return F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array(x, y))).alias("parts"), F.array(F.lit(0)).alias("poly"))
 
 
-def _lon(k: str, span: int, scale: float, base: float) -> Column:
-    return (F.col(k) * 7919 % span) * scale + base
+def _xy(k: str, step: int) -> list[Column]:
+    return [((F.col(k) * 7919 % 1000) * 0.001 + 11.0).alias("x"), ((F.col(k) * step % 1000) * 0.001 + 47.0).alias("y")]
 
 
 #: Customers and suppliers as points in a degree around (11, 47).
-_CUSTOMER = (_lon("c_custkey", 1000, 0.001, 11.0), (F.col("c_custkey") * 104729 % 1000) * 0.001 + 47.0)
-_SUPPLIER = (_lon("s_suppkey", 1000, 0.001, 11.0), (F.col("s_suppkey") * 1299709 % 1000) * 0.001 + 47.0)
+_CUSTOMER, _SUPPLIER = ("c_custkey", 104729), ("s_suppkey", 1299709)
 _SQL_POINTS = """
     c AS (SELECT c_custkey, (c_custkey * 7919 % 1000) * 0.001::DOUBLE + 11.0::DOUBLE AS x, (c_custkey * 104729 % 1000) * 0.001::DOUBLE + 47.0::DOUBLE AS y FROM customer),
     s AS (SELECT s_suppkey, (s_suppkey * 7919 % 1000) * 0.001::DOUBLE + 11.0::DOUBLE AS x, (s_suppkey * 1299709 % 1000) * 0.001::DOUBLE + 47.0::DOUBLE AS y FROM supplier)"""
@@ -161,11 +161,11 @@ _SQL_A = """power(sin(radians(s.y - c.y) / 2), 2) + power(sin(radians(s.x - c.x)
 
 
 def customers(spark, d) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey", *(v.alias(n) for n, v in zip("xy", _CUSTOMER, strict=True)))
+    return table(spark, d, "customer").select("c_custkey", *_xy(*_CUSTOMER))
 
 
 def suppliers(spark, d) -> DataFrame:
-    return table(spark, d, "supplier").select("s_suppkey", *(v.alias(n) for n, v in zip("xy", _SUPPLIER, strict=True)))
+    return table(spark, d, "supplier").select("s_suppkey", *_xy(*_SUPPLIER))
 
 
 def _near_pairs(spark, d, km: float) -> DataFrame:
@@ -211,9 +211,6 @@ def bbox_contains(spark, d):
     return inside.groupBy("n_nationkey").agg(F.count("*").alias("n"))
 
 
-_ID = ids.feature_id("run", _point(F.col("c_custkey").cast("double"), F.lit(47.0)))
-
-
 def _id_sql() -> str:
     """The canonical text around a point's coordinates, as literals."""
     mark = "\0"
@@ -226,7 +223,7 @@ def _id_sql() -> str:
 @query("feature_id_sha1", _id_sql())
 def feature_id_sha1(spark, d):
     """F22."""
-    return table(spark, d, "customer").select("c_custkey", _ID.alias("feature_id"))
+    return table(spark, d, "customer").select("c_custkey", ids.feature_id("run", _point(F.col("c_custkey").cast("double"), F.lit(47.0))).alias("feature_id"))
 
 
 @query(
@@ -354,16 +351,14 @@ def removal_ratio_rule(spark, d):
 
 # -- reducers ------------------------------------------------------------------------------------
 
-_LEVELS = F.get(F.array(*map(F.lit, ("easy", "novice", "expert", "intermediate", "none"))), F.substring("o_orderpriority", 1, 1).cast("int") - 1)
-
-
 @query(
     "priority_reduce",
     "SELECT o_custkey, arg_min(v, r) FILTER (r IS NOT NULL) AS difficulty FROM (SELECT o_custkey, ['easy', 'novice', 'expert', 'intermediate', NULL][o_orderpriority[1]::INTEGER] AS v, [2, 1, 5, 3, NULL][o_orderpriority[1]::INTEGER] AS r FROM orders) GROUP BY o_custkey",
 )
 def priority_reduce(spark, d):
     """A8, A9."""
-    return table(spark, d, "orders").groupBy("o_custkey").agg(reduce.priority_agg(F.when(_LEVELS != "none", _LEVELS), "difficulty").alias("difficulty"))
+    level = F.get(F.array(*map(F.lit, ("easy", "novice", "expert", "intermediate", "none"))), F.substring("o_orderpriority", 1, 1).cast("int") - 1)
+    return table(spark, d, "orders").groupBy("o_custkey").agg(reduce.priority_agg(F.when(level != "none", level), "difficulty").alias("difficulty"))
 
 
 @query("unique_join", "SELECT l_orderkey, string_agg(DISTINCT l_returnflag || l_linestatus, ', ' ORDER BY l_returnflag || l_linestatus) AS modes FROM lineitem GROUP BY l_orderkey")
