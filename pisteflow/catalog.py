@@ -563,7 +563,7 @@ def csv_escape(spark, d):
 
 @query(
     "csv_row",
-    """SELECT p_partkey, p_name || ',' || CASE WHEN p_size % 2 = 0 THEN 'yes' ELSE 'no' END || ',,' || '"' || least(p_brand, p_name) || ';' || greatest(p_brand, p_name) || '"' || ',' || 'https://openskimap.org/?obj=' || p_partkey AS line FROM part""",
+    """SELECT p_partkey, p_name || ',' || CASE WHEN p_size % 2 = 0 THEN 'yes' ELSE 'no' END || ',,' || '"' || least(p_brand, p_name) || ';' || greatest(p_brand, p_name) || '"' || ',' || 'https://map.example/?obj=' || p_partkey AS line FROM part""",
 )
 def csv_row(spark, d):
     """F32, T12-T14."""

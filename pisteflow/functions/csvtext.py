@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pisteflow.functions import geo, reduce
 from pisteflow.functions.jsnum import to_fixed
 
-FEATURE_URL = "https://openskimap.org/?obj="
+#: Name of the site that shows features (a column of the CSV files), and its address before an id.
+#: Set both to those of the publishing site.
+SITE_NAME, FEATURE_URL = "map_site", "https://map.example/?obj="
 #: Where a source's page is.
 SOURCE_URL = {"openstreetmap": "https://www.openstreetmap.org/", "skimap.org": "https://www.skimap.org/SkiAreas/view/"}
 

@@ -121,7 +121,7 @@ def merge_outputs(spark: SparkSession, directories: list[str], target: str) -> d
             out[name] = sinks.write_feature_lines(_stacked(rows), str(Path(target, name)))
     packages = files_to_merge(directories, "gpkg")
     if packages:
-        merged = sinks.GeoPackage(str(Path(target, "openskidata.gpkg")))
+        merged = sinks.GeoPackage(str(Path(target, "ski_data.gpkg")))
         for p in packages:
             out |= merged.merge(str(p))
         merged.close()

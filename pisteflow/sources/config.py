@@ -92,7 +92,7 @@ class Paths:
 
     @property
     def package(self) -> Path:
-        return self.root / "openskidata.gpkg"
+        return self.root / "ski_data.gpkg"
 
     def make(self) -> Paths:
         (self.root / "csv").mkdir(parents=True, exist_ok=True)
@@ -158,7 +158,7 @@ def download_plan(paths: Paths, endpoints: tuple[str, str], second_source: str,
 
 def files_to_merge(directories: list[str], kind: str) -> list[Path]:
     """Outputs of a kind in each directory, in order; a missing directory raises."""
-    names = {"geojson": [f"{n}.geojson" for n in LAYERS], "csv": [f"csv/{n}.csv" for n in LAYERS], "gpkg": ["openskidata.gpkg"]}[kind]
+    names = {"geojson": [f"{n}.geojson" for n in LAYERS], "csv": [f"csv/{n}.csv" for n in LAYERS], "gpkg": ["ski_data.gpkg"]}[kind]
     for d in directories:
         if not Path(d).is_dir():
             raise NotADirectoryError(d)
