@@ -59,10 +59,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt from the labels of the rows that are not held out."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     held_out = langid.remainder("doc_id", 5) == 0
-    learn = docs.where(~held_out).join(labels.where(~held_out), "doc_id", "left")
-    out = toxicity.score(docs, toxicity.fit(learn), keep=["doc_id"])
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs.where(~held_out), labels.where(~held_out))
+    out = toxicity.score(docs, model, keep=["doc_id"])
     return out.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

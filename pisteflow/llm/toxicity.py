@@ -74,7 +74,8 @@ class Model:
             z = np.bincount(row, weights=w, minlength=n) + self.bias
         else:
             z = np.full(n, self.bias)
-        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-z))
 
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 11, epochs: int = 80, batch: int = 512, rate: float = 0.1, decay: float = 1e-6) -> Model:
@@ -128,16 +129,22 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model(word[chosen], w, float(b))
 
 
-def fit(learn: DataFrame, text_col: str = "text", toxic_col: str = "toxic") -> Model:
-    """Learn from rows of text and toxic (1, 0, or null for rows without a label)."""
-    learn = learn.select(F.col(text_col).alias("text"), F.col(toxic_col).cast("int").alias("toxic"))
-    n = learn.agg(F.count_if(F.col("toxic") == 1).alias("p"), F.count("toxic").alias("labelled"), F.count("*").alias("all")).first()
-    if not n["p"]:
+def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", toxic_col: str = "toxic") -> Model:
+    """Learn from docs (unlabelled) and labels, which says which of them are toxic (1) or not (0).
+
+    Of the labels only the positives' ids and the two counts are used. The drawn ids, POSITIVES at
+    most in expectation, are broadcast, so no text is shuffled.
+    """
+    known = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
+    n = known.agg(F.count_if(F.col("toxic") == 1).alias("p"), F.count("*").alias("labelled")).first()
+    total = docs.count()
+    if not n["p"] or not total:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -1000.0)
-    drawn = learn.withColumns({"p": F.rand(1), "q": F.rand(2)})
+    drawn = known.where("toxic = 1").where(F.rand(1) < POSITIVES / n["p"]).select(id_col)
+    columns = [F.coalesce(text_col, F.lit("")).alias("text"), F.rand(3).alias("p")]
+    confirmed = docs.join(F.broadcast(drawn), id_col).select(F.lit(1).alias("kind"), *columns)
     # A positive may also be drawn as unlabelled text; its label is not used there.
-    kinds = F.array_compact(F.array(F.when((F.col("toxic") == 1) & (F.col("p") < POSITIVES / n["p"]), 1), F.when(F.col("q") < UNLABELLED / n["all"], 0)))
-    sample = drawn.select(F.explode(kinds).alias("kind"), F.coalesce("text", F.lit("")).alias("text"), "p")
+    sample = confirmed.union(docs.where(F.rand(2) < UNLABELLED / total).select(F.lit(0).alias("kind"), *columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
