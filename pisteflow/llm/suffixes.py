@@ -12,8 +12,10 @@ anchor hash, and only within a group can strings be equal.
    first one symbol of every segment is put in front, which re-sorts the collection by suffix
    (the order of its Burrows-Wheeler transform) and updates the common prefixes of neighbours.
    A string is repeated where a common prefix with a neighbour reaches the wanted length.
-3. Groups of very many classes are split: their strings are counted by 128-bit hash instead,
-   pre-aggregated, so that no group has to fit in a task.
+3. Groups of very many classes are split: each segment's starts are dealt into blocks by their
+   distance from the anchor, and a block is grouped by the bytes that all its strings share. Blocks
+   get smaller until groups are small; those of one start are equal strings, which are only
+   counted. So no group has to fit in a task, and a segment is never expanded into all its strings.
 
 Texts are judged as UTF-8 bytes; where equality is decided by hash, it is by 128 bits
 (an anchor's and a segment's, or a string's own).
@@ -39,8 +41,10 @@ from pisteflow.llm import textkernels as tk
 from pisteflow.plans.lineage import materialize
 
 GRAM = 24
-#: Classes of one anchor hash that are still sorted together; a larger group is split.
-GROUP_CLASSES = 512
+#: Classes of one group that are still sorted together; a larger group is split into blocks of
+#: these many starts, in turn.
+GROUP_CLASSES = 2048
+BLOCKS = (16, 4, 1)
 #: Bytes that are cut at once; a longer text is cut in blocks that overlap by the length.
 BLOCK = 1 << 20
 OUTPUTS = ("n_bytes", "n_removed", "n_spans", "kept", "spans")
@@ -201,16 +205,21 @@ def _fetch(df: DataFrame, text_col: str, told: list, asked: DataFrame, length: i
     return held.mapInArrow(run, T.StructType([*fields, T.StructField("cut", T.BinaryType())]))
 
 
+PIECE = "key long, content long, anchor_hash long, class long, origin int, anchor int, first int, last int, cut binary"
+FOUND = "anchor_hash long, class long, lo int, hi int"
+
+
 def _sort_groups(frames: Iterator[pd.DataFrame], length: int, at_once: int = 4096) -> Iterator[pd.DataFrame]:
     """Column-wise construction of all groups of a task, some at a time; rows come group by group."""
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        group = pd.factorize(frame["anchor_hash"])[0].astype(np.int64)
+        group = pd.factorize(frame["key"])[0].astype(np.int64)
         anchor, first, last = (frame[c].to_numpy(np.int64) for c in ("anchor", "first", "last"))
         spans = [_runs(mask) for mask in repeated_starts(frame["cut"].tolist(), group, anchor, first, last, length)]
         row = np.repeat(np.arange(len(frame)), [len(a) for a, _ in spans])
-        out = frame[CLASS].iloc[row].reset_index(drop=True)
-        out["lo"], out["hi"] = (np.concatenate([x[k] for x in spans]).astype(np.int32) for k in (0, 1))
+        out = frame[["anchor_hash", "class"]].iloc[row].reset_index(drop=True)
+        base = (first - frame["origin"].to_numpy(np.int64))[row]
+        out["lo"], out["hi"] = ((base + np.concatenate([x[k] for x in spans])).astype(np.int32) for k in (0, 1))
         return out
 
     held = None
@@ -218,7 +227,7 @@ def _sort_groups(frames: Iterator[pd.DataFrame], length: int, at_once: int = 409
         held = frame if held is None else pd.concat([held, frame], ignore_index=True)
         while len(held) > at_once:
             # The last group may go on in the next batch; groups are cut where one begins.
-            starts = np.flatnonzero(held["anchor_hash"].diff().ne(0).to_numpy())
+            starts = np.flatnonzero(held["key"].diff().ne(0).to_numpy())
             stop = starts[np.searchsorted(starts, at_once, side="right") - 1] or (starts[1] if len(starts) > 1 else 0)
             if not stop:
                 break
@@ -228,24 +237,53 @@ def _sort_groups(frames: Iterator[pd.DataFrame], length: int, at_once: int = 409
         yield build(held)
 
 
-def _strings(frames: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    """Every string of every segment by its 128-bit hash."""
-    digest = xxhash.xxh3_128_intdigest
+def _split(frames: Iterator[pd.DataFrame], length: int, block: int) -> Iterator[pd.DataFrame]:
+    """Each piece as blocks of starts, grouped by what all strings of a block share.
+
+    Blocks lie at fixed distances from the anchor, so equal strings are in blocks of equal keys.
+    """
+    digest = xxhash.xxh3_64_intdigest
+    names = [c.split()[0] for c in PIECE.split(", ")]
     for frame in frames:
-        for base in range(0, len(frame), 1000):
-            part = frame.iloc[base : base + 1000]
-            n = (part["last"] - part["first"] + 1).to_numpy()
-            d = [digest(raw[k : k + length]) for raw, m in zip(part["cut"], n, strict=True) for k in range(m)]
-            out = part[CLASS].iloc[np.repeat(np.arange(len(part)), n)].reset_index(drop=True)
-            out["at"] = (np.arange(len(d)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
-            out["d1"] = np.array([x >> 64 for x in d], np.uint64).view(np.int64)
-            out["d2"] = np.array([x & 0xFFFFFFFFFFFFFFFF for x in d], np.uint64).view(np.int64)
-            yield out
+        for base in range(0, len(frame), 500):
+            rows = []
+            for r in frame.iloc[base : base + 500].itertuples(index=False):
+                key, _, anchor_hash, of_class, origin, anchor, first, last, cut = r
+                start = first
+                while start <= last:
+                    k = (start - anchor) // block  # which block, from the anchor
+                    stop = min(last, anchor + (k + 1) * block - 1)
+                    lo, hi = anchor + k * block, anchor + (k + 1) * block - 1  # the whole block
+                    core = cut[hi - first : lo + length - first]  # what every string of the block holds
+                    text = cut[start - first : stop - first + length]
+                    rows.append((digest(core, seed=(key ^ k) & 0xFFFFFFFFFFFFFFFF), digest(text, seed=(start - lo) & 0xFFFF), anchor_hash, of_class, origin, anchor, start, stop, text))
+                    start = stop + 1
+            out = pd.DataFrame(rows, columns=names)
+            for c in ("key", "content"):
+                out[c] = np.array(out[c].tolist(), np.uint64).view(np.int64)
+            yield out.astype({c: np.int32 for c in ("origin", "anchor", "first", "last")})
+
+
+def _resolve(pieces: DataFrame, length: int, blocks: tuple[int, ...]) -> DataFrame:
+    """(anchor_hash, class, lo, hi): repeated starts of each class, counted from its first; pieces: PIECE and classes."""
+    n = max(int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")), 24)
+    small = pieces.where(F.col("classes") <= GROUP_CLASSES).drop("classes").repartition(n, "key").sortWithinPartitions("key")
+    built = small.mapInPandas(lambda f: _sort_groups(f, length), FOUND)
+    large = pieces.where(F.col("classes") > GROUP_CLASSES).drop("classes")
+    if not blocks or large.isEmpty():
+        return built
+    parts = materialize(large.mapInPandas(lambda f: _split(f, length, blocks[0]), PIECE), "blocks")
+    counts = parts.groupBy("key", "content").agg(F.count("*").alias("copies"))
+    groups = materialize(counts.groupBy("key").agg(F.count("*").alias("classes"), F.sum("copies").alias("n")).where("n > 1"), "block-groups")
+    counts = materialize(counts.where("copies > 1"), "block-copies")
+    lo, hi = (F.col(c) - F.col("origin") for c in ("first", "last"))
+    whole = parts.join(counts.select("key", "content"), ["key", "content"], "left_semi").select("anchor_hash", "class", lo.alias("lo"), hi.alias("hi"))
+    more = parts.join(groups.where("classes > 1").select("key", "classes"), "key")
+    return built.union(whole).union(_resolve(materialize(more, "pieces"), length, blocks[1:]) if blocks[1:] else more.where("false").select("anchor_hash", "class", lo.alias("lo"), hi.alias("hi")))
 
 
 def repeated_spans(df: DataFrame, told: list, text_col: str, length: int) -> DataFrame:
     """(row_id, row_hash, first, last): runs of starts of repeated strings."""
-    spark = df.sparkSession
     every = materialize(_cut(df, text_col, told, length), "segments")
     anchors = every.groupBy("anchor_hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor_hash")
     segs = materialize(every.join(anchors, "anchor_hash", "left_semi"), "shared-segments")
@@ -253,17 +291,10 @@ def repeated_spans(df: DataFrame, told: list, text_col: str, length: int) -> Dat
     groups = classes.groupBy("anchor_hash").agg(F.count("*").alias("classes")).where("classes > 1")
     # One text of each class that is not alone with its anchor.
     asked = classes.join(groups, "anchor_hash").select(*CLASS, "classes", "one.*")
-    pieces = materialize(_fetch(df, text_col, told, asked, length), "pieces")
-
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 24)
-    small = pieces.where(F.col("classes") <= GROUP_CLASSES).repartition(n, "anchor_hash").sortWithinPartitions("anchor_hash")
-    built = small.mapInPandas(lambda f: _sort_groups(f, length), "anchor_hash long, content long, lo int, hi int")
-    # Split groups: strings are counted with a map-side combine, wherever they are.
-    strings = materialize(pieces.where(F.col("classes") > GROUP_CLASSES).mapInPandas(lambda f: _strings(f, length), "anchor_hash long, content long, at int, d1 long, d2 long"), "strings")
-    often = strings.groupBy("d1", "d2").agg(F.count("*").alias("c")).where("c > 1").select("d1", "d2")
-    split = strings.join(often, ["d1", "d2"], "left_semi").select(*CLASS, F.col("at").alias("lo"), F.col("at").alias("hi"))
+    fetched = _fetch(df, text_col, told, asked, length)
+    pieces = materialize(fetched.select(F.col("anchor_hash").alias("key"), "content", "anchor_hash", F.col("content").alias("class"), F.col("first").alias("origin"), "anchor", "first", "last", "cut", "classes"), "pieces")
 
-    partly = built.union(split).groupBy(*CLASS).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    partly = _resolve(pieces, length, BLOCKS).groupBy("anchor_hash", F.col("class").alias("content")).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     verdict = classes.select(*CLASS, "copies").join(partly, CLASS, "left").where("copies > 1 or runs is not null")
     verdict = verdict.select(*CLASS, F.when(F.col("copies") <= 1, F.col("runs")).alias("runs"))
     whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("last") - F.col("first")).alias("hi")))
