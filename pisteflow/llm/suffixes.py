@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pisteflow.llm import textkernels as tk
-from pisteflow.plans.lineage import materialize
+from pisteflow.plans.lineage import discard, materialize
 
 GRAM = 24
 #: Classes of one group that are still sorted together; a larger group is split into blocks of
@@ -285,10 +285,13 @@ def _resolve(pieces: DataFrame, length: int, blocks: tuple[int, ...]) -> DataFra
 def repeated_spans(df: DataFrame, told: list, text_col: str, length: int) -> DataFrame:
     """(row_id, row_hash, first, last): runs of starts of repeated strings."""
     every = materialize(_cut(df, text_col, told, length), "segments")
-    anchors = every.groupBy("anchor_hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor_hash")
+    # What is grouped is written out, so that in a join one large group's rows can be split.
+    anchors = materialize(every.groupBy("anchor_hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor_hash"), "anchors")
     segs = materialize(every.join(anchors, "anchor_hash", "left_semi"), "shared-segments")
+    discard(every)
+    discard(anchors)
     classes = materialize(segs.groupBy(*CLASS).agg(F.count("*").alias("copies"), F.min(F.struct(*ROW, "anchor", "first", "last")).alias("one")), "classes")
-    groups = classes.groupBy("anchor_hash").agg(F.count("*").alias("classes")).where("classes > 1")
+    groups = materialize(classes.groupBy("anchor_hash").agg(F.count("*").alias("classes")).where("classes > 1"), "groups")
     # One text of each class that is not alone with its anchor.
     asked = classes.join(groups, "anchor_hash").select(*CLASS, "classes", "one.*")
     fetched = _fetch(df, text_col, told, asked, length)
@@ -296,10 +299,13 @@ def repeated_spans(df: DataFrame, told: list, text_col: str, length: int) -> Dat
 
     partly = _resolve(pieces, length, BLOCKS).groupBy("anchor_hash", F.col("class").alias("content")).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     verdict = classes.select(*CLASS, "copies").join(partly, CLASS, "left").where("copies > 1 or runs is not null")
-    verdict = verdict.select(*CLASS, F.when(F.col("copies") <= 1, F.col("runs")).alias("runs"))
+    verdict = materialize(verdict.select(*CLASS, F.when(F.col("copies") <= 1, F.col("runs")).alias("runs")), "verdict")
     whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("last") - F.col("first")).alias("hi")))
     marked = segs.join(verdict, CLASS).select(*ROW, "first", F.explode(F.coalesce("runs", whole)).alias("r"))
-    return marked.select(*ROW, (F.col("first") + F.col("r.lo")).alias("first"), (F.col("first") + F.col("r.hi")).alias("last"))
+    spans = materialize(marked.select(*ROW, (F.col("first") + F.col("r.lo")).alias("first"), (F.col("first") + F.col("r.hi")).alias("last")), "spans")
+    for done in (segs, classes, groups, pieces, verdict):
+        discard(done)
+    return spans
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = 200) -> DataFrame:
