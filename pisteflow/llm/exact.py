@@ -39,30 +39,32 @@ def _cell(df: DataFrame, n_words: int) -> DataFrame:
     )
 
 
-def exact_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int | None = None) -> DataFrame:
+def exact_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Every row, with keep_id, group_size, kept and text_sha256.
 
     rows: about how many rows there are, to size the filter (counted when not given). A filter
-    word is spent on four rows, so few rows are shuffled in vain at any scale.
+    word is spent on four rows, so few rows are shuffled in vain at any scale. keep: input columns
+    to carry (all by default).
     """
     rows = df.count() if rows is None else rows
     n_words = 1 << max(10, (max(rows, 1) // 4).bit_length())
-    base = df.drop(*(c for c in OUTPUTS if c in df.columns))
-    cells = _cell(base.select(F.xxhash64(normalised(F.col(text_col))).alias("__h")), n_words)
+    columns = [c for c in (df.columns if keep is None else keep) if c not in OUTPUTS]
+    plain = normalised(F.col(text_col))
+    cells = _cell(df.select(F.xxhash64(plain).alias("__h")), n_words)
     twice = cells.groupBy("__word", "__bits").agg(F.count("*").alias("n")).where("n > 1")
     words = twice.groupBy("__word").agg(F.expr("bit_or(__bits)").alias("__set"))
 
-    plain = normalised(F.col(text_col))
-    seen = _cell(base.withColumns({"__row": F.monotonically_increasing_id(), "text_sha256": F.sha2(plain, 256), "__h": F.xxhash64(plain), "__length": F.length(F.coalesce(text_col, F.lit("")))}), n_words)
+    own = [F.xxhash64(plain).alias("__h"), F.sha2(plain, 256).alias("text_sha256"), F.length(F.coalesce(text_col, F.lit(""))).alias("__length"), F.col(id_col).alias("__id")]
+    seen = _cell(df.select(*columns, *own), n_words)
     probed = seen.join(F.broadcast(words) if n_words <= BROADCAST_WORDS else words, "__word", "left")
     maybe = F.coalesce(F.col("__set").bitwiseAND(F.col("__bits")) == F.col("__bits"), F.lit(False))
-    helpers = ("__word", "__bits", "__set", "__h", "__row", "__length", "__keep")
 
-    alone = probed.where(~maybe).withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
-    candidates = probed.where(maybe)
-    order = F.struct((-F.col("__length")).alias("l"), F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col("__row").alias("r"))
-    # Written out, the groups are a plain side of the join, so that one large group's rows can be split.
+    alone = probed.where(~maybe).select(*columns, F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    # Written out, possible repeats have row numbers that stay, and groups are a plain side of the
+    # join, so that one large group's rows can be split.
+    numbered = probed.where(maybe).select(*columns, "__id", "__length", "text_sha256", F.monotonically_increasing_id().alias("__row"))
+    candidates = materialize(numbered, "candidates")
+    order = F.struct((-F.col("__length")).alias("l"), F.col("__id").isNull().alias("n"), F.col("__id").alias("i"), F.col("__row").alias("r"))
     groups = materialize(candidates.groupBy("text_sha256").agg(F.min(order).alias("__keep"), F.count("*").alias("group_size")), "groups")
-    decided = candidates.join(groups, "text_sha256").withColumns({"keep_id": F.col("__keep.i"), "kept": F.col("__keep.r") == F.col("__row")})
-    columns = [*base.columns, *OUTPUTS]
-    return alone.drop(*helpers).select(columns).union(decided.drop(*helpers).select(columns))
+    decided = candidates.join(groups, "text_sha256").select(*columns, F.col("__keep.i").alias("keep_id"), "group_size", (F.col("__keep.r") == F.col("__row")).alias("kept"), "text_sha256")
+    return alone.union(decided)

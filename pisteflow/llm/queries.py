@@ -39,7 +39,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the id of the equal document that stays."""
-    return exact.exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact.exact_dedup(_documents(spark, sf_dir), keep=["doc_id"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
