@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pisteflow.llm import bpe, exact, langid, mixing, simhash
+from pisteflow.llm import bpe, exact, langid, mixing, similar
 from pisteflow.plans.lineage import materialize
 
 
@@ -31,8 +31,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near fingerprints stays."""
-    return simhash.keep_one(docs, words=4, radius=4)
+    """One document of each component of texts stays whose five-word shingles are 0.8 alike or more."""
+    return similar.keep_one(docs, words=5, similarity="4/5")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
