@@ -18,8 +18,10 @@ an empty table gives an empty table; findings() carries only the named columns.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,20 @@ COVERAGE = 0.8
 #: within these bounds, so that the next copy of a short notice is no part of it.
 BAND = (1, 12)
 
+#: Templates of up to so many words are found only where the words that tell families and versions
+#: apart are the template's, in its order.
+SHORT = 100
+_TELLING = frozenset(
+    b"lesser library affero documentation nc sa nd noncommercial sharealike noderivatives noderivs gpl lgpl agpl gfdl mpl epl apache mit bsd isc"
+    b" zlib boost mozilla eclipse artistic cc0 zero unlicense only later".split()
+)
+#: Up to LINE words, all words but these must be found.
+LINE = 20
+_FRAME = frozenset(b"licensed released distributed under the a this work project is".split())
+_NUMBER = re.compile(rb"(?:[al]?gpl|[me]pl|gfdl|cc|bsd)?v?[0-9]+")
+#: Words in front of a number that make it a version.
+_VERSION = frozenset(b"version versions v cc by nc sa nd zero attribution sharealike noncommercial noderivatives noderivs license licenses mpl gpl lgpl agpl gfdl epl bsl apache cc0 universal".split())
+
 #: Notices by name. Texts are those that their licences ask for, and common one-line forms.
 TEMPLATES = {
     "mit-line": "Released under the MIT License.",
@@ -69,6 +85,102 @@ TEMPLATES = {
     "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
         the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
+_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED
+    TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+    AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+    TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+    SOFTWARE."""
+_BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+    WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+    PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+    INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+    GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+    LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+    OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+    INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+    SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+    PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH
+    THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_ENDORSE = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+    promote products derived from this software without specific prior written permission."""
+TEMPLATES |= {
+    "mit-warranty": _WARRANTY,
+    "mit-text": TEMPLATES["mit"] + _WARRANTY,
+    "bsd-warranty": _BSD_WARRANTY,
+    "bsd-2-clause-text": TEMPLATES["bsd"] + _BSD_WARRANTY,
+    "bsd-3-clause-text": TEMPLATES["bsd"] + _ENDORSE + _BSD_WARRANTY,
+    "bsd-3-clause": TEMPLATES["bsd"] + _ENDORSE,
+    "isc-warranty": _ISC_WARRANTY,
+    "isc-text": TEMPLATES["isc"] + _ISC_WARRANTY,
+    "0bsd-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + _ISC_WARRANTY,
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+        held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+        software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject
+        to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that
+        you wrote the original software. If you use this software in a product, an acknowledgment in the product
+        documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such,
+        and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from
+        any source distribution.""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+        publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for
+        any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the
+        author or authors of this software dedicate any and all copyright interest in the software to the public domain.
+        We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors.
+        We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to
+        this software under copyright law.""",
+    "bsl-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+        and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute,
+        execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties
+        to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software
+        and this entire statement, including the above license grant, this restriction and the following disclaimer, must
+        be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless
+        such copies or derivative works are solely in the form of machine-executable object code generated by a source
+        language processor.""",
+    "epl-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License
+        2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
+    "epl-1.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License
+        v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html""",
+}
+
+
+def _notices() -> dict[str, str]:
+    """Notices and one-line forms of families and versions, except those that are there by name."""
+    out = {}
+    for short, kind, versions in (("gpl", "", "123"), ("lgpl", "Lesser ", ("2.1", "3")), ("lgpl", "Library ", "2"), ("agpl", "Affero ", "3")):
+        for v in versions:
+            name, full = f"{short}-{v if '.' in v else v + '.0'}", f"GNU {kind}General Public License"
+            out[f"{name}-or-later"] = f"is free software: you can redistribute it and/or modify it under the terms of the {full} as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version."
+            out[f"{name}-only"] = f"is free software; you can redistribute it and/or modify it under the terms of the {full} as published by the Free Software Foundation; version {v} of the License."
+            spelt = [f"{full}, version {v}", f"{full} v{v if '.' in v else v + '.0'}", f"{short}-{v if '.' in v else v + '.0'}", f"{short}v{v}"]
+            out |= {f"{name}-{k}": x for k, x in enumerate(spelt)}
+    names = {"mit": ["MIT License"], "isc": ["ISC License"], "0bsd": ["0BSD License"], "zlib": ["zlib License"], "unlicense": ["Unlicense"], "artistic-2.0": ["Artistic License 2.0"], "bsl-1.0": ["Boost Software License, Version 1.0"], "cc0-1.0": ["CC0 1.0 Universal", "Creative Commons Zero 1.0 Universal"]}
+    names |= {"bsd-2-clause": ["BSD 2-Clause License", "2-Clause BSD License"], "bsd-3-clause": ["BSD 3-Clause License", "3-Clause BSD License"], "apache-2.0": ["Apache License, Version 2.0", "Apache 2.0 License"]}
+    names |= {f"{s}-{v}": [f"{full} {v}", f"{full}, version {v}", f"{full}, v. {v}"] for s, full, v in (("mpl", "Mozilla Public License", "1.1"), ("mpl", "Mozilla Public License", "2.0"), ("epl", "Eclipse Public License", "1.0"), ("epl", "Eclipse Public License", "2.0"))}
+    names |= {f"gfdl-{v}": [f"GNU Free Documentation License, version {v}"] for v in ("1.1", "1.2", "1.3")}
+    terms = {"": "", "-nc": "-NonCommercial", "-sa": "-ShareAlike", "-nd": "-NoDerivatives", "-nc-sa": "-NonCommercial-ShareAlike", "-nc-nd": "-NonCommercial-NoDerivatives"}
+    for v, kind in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+        names |= {f"cc-by{c}-{v}": [f"CC BY{c.upper()} {v}", f"Creative Commons Attribution{t} {v} {kind} License"] for c, t in terms.items()}
+    for name, k in [(n, k) for n in out for k in "0123" if n.endswith(f"-{k}")]:
+        names.setdefault(name[:-2], []).append(out.pop(name))
+    for name, spelt in names.items():
+        for k, x in enumerate(spelt):
+            for frame in ("Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under"):
+                for the in ("the ", "a " if "Creative" in x else ""):
+                    out[f"{name}-line:{frame} {the}{k}".lower().replace(" ", "-")] = f"{frame} {the}{x}."
+    spdx = [n for n in names if not n.startswith(("gpl", "lgpl", "agpl", "gfdl"))] + [f"{n}{e}" for n in names if n.startswith(("gpl", "lgpl", "agpl", "gfdl")) for e in ("", "-only", "-or-later")]
+    out |= {f"{n}-spdx": f"SPDX-License-Identifier: {n}" for n in spdx}
+    return out
+
+
+_seen = {" ".join(re.findall("[a-z0-9]+", t.lower())) for t in TEMPLATES.values()}
+for _name, _text in _notices().items():
+    _plain = " ".join(re.findall("[a-z0-9]+", _text.lower()))
+    if _plain not in _seen:
+        _seen.add(_plain)
+        TEMPLATES.setdefault(_name, _text)
+#: Whole licences, one file each.
+TEMPLATES |= {f"{f.stem}-text": f.read_text() for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 FINDING = T.StructType(
     [
         T.StructField("license", T.StringType(), False),
@@ -122,10 +234,24 @@ class Index:
             place.append(np.cumsum(norm == 32)[at])
             self.names.append(name)
             self.words.append(_WORD.findall(norm.tobytes()))
+        self.counts = [Counter(w) for w in self.words]
+        self.named = [Counter(x for x in w if x not in _FRAME) if len(w) <= LINE else Counter() for w in self.words]
+        self.telling = [telling(w) if len(w) <= SHORT else None for w in self.words]
         order = np.argsort(np.concatenate(hashes), kind="stable")
         self.hashes, self.owner, self.place = (np.concatenate(x)[order] for x in (hashes, owner, place))
 
 
+def telling(words: list[bytes]) -> list[bytes]:
+    """The words that tell families and versions apart, in order."""
+    out, version = [], False
+    for k, w in enumerate(words):
+        number = bool(_NUMBER.fullmatch(w)) and (version or not w.isdigit() or words[k + 1 : k + 2] == [b"clause"])
+        if number or w in _TELLING:
+            out.append(w.lstrip(b"v"))
+        version = number or w in _VERSION
+    return out
+
+
 def align(text: list[bytes], template: list[bytes], diagonal: int, band: int) -> tuple[int, int, int]:
     """(matched words, first, last text word) of the best banded alignment; first > last if none.
 
@@ -172,9 +298,12 @@ def scan_text(raw: bytes, hits: list[tuple[int, int]], index: Index, coverage: f
         for centre in range(d + min(band, (stop - d) // 2), stop + band, 2 * band) if stop > d else (d,):
             base = max(0, centre - band)
             part = words[base : centre + len(index.words[t]) + band + 1]
+            # No alignment has more words than both have in common in any order.
+            if len(part) < coverage * len(index.words[t]) or (Counter(part) & index.counts[t]).total() < coverage * len(index.words[t]):
+                continue
             m, first, last = align(part, index.words[t], centre - base, band)
             share = m / len(index.words[t])
-            if share >= coverage:
+            if share >= coverage and index.named[t] <= Counter(part[first : last + 1]) and (index.telling[t] is None or telling(part[first : last + 1]) == index.telling[t]):
                 found.append((m, share, index.names[t], base + first, base + last))
     found.sort(key=lambda f: (-f[0], -f[1], f[2], f[3]))
     kept: list[tuple] = []
