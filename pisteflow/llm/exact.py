@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pisteflow.plans.lineage import materialize
 
-#: Up to so many filter words (8 bytes each) are broadcast; a larger filter is joined by shuffle.
+#: Up to so many filter words that are set (only repeats set any) are broadcast; more are joined by shuffle.
 BROADCAST_WORDS = 1 << 20
 WHITE = r"[\x20\x09-\x0D]+"
 OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
@@ -52,11 +52,11 @@ def exact_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", r
     plain = normalised(F.col(text_col))
     cells = _cell(df.select(F.xxhash64(plain).alias("__h")), n_words)
     twice = cells.groupBy("__word", "__bits").agg(F.count("*").alias("n")).where("n > 1")
-    words = twice.groupBy("__word").agg(F.expr("bit_or(__bits)").alias("__set"))
+    words = materialize(twice.groupBy("__word").agg(F.expr("bit_or(__bits)").alias("__set")), "words")
 
     own = [F.xxhash64(plain).alias("__h"), F.sha2(plain, 256).alias("text_sha256"), F.length(F.coalesce(text_col, F.lit(""))).alias("__length"), F.col(id_col).alias("__id")]
     seen = _cell(df.select(*columns, *own), n_words)
-    probed = seen.join(F.broadcast(words) if n_words <= BROADCAST_WORDS else words, "__word", "left")
+    probed = seen.join(F.broadcast(words) if words.count() <= BROADCAST_WORDS else words, "__word", "left")
     maybe = F.coalesce(F.col("__set").bitwiseAND(F.col("__bits")) == F.col("__bits"), F.lit(False))
 
     alone = probed.where(~maybe).select(*columns, F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
