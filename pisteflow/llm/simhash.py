@@ -171,8 +171,11 @@ def near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 4, radius: int = 4) -> DataFrame:
     """The rows of df that stay when one document of each component does: the one of smallest id.
 
-    Rows without an id can't be told apart from those that stay, so they stay as well.
+    Rows are told apart by number, so ids may be null (these come last) or repeated.
     """
-    chosen = near_duplicates(df, text_col, id_col, words, radius)
-    stay = chosen.where(F.col(id_col) == F.col("component_id")).select(id_col)
-    return df.join(stay, id_col, "left_semi").union(df.where(F.col(id_col).isNull()))
+    numbered = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    chosen = near_duplicates(numbered, text_col, "__row", words, radius)
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
+    placed = chosen.join(numbered.select("__row", order.alias("place")), "__row")
+    stay = placed.groupBy("component_id").agg(F.min("place").alias("least")).select(F.col("least.row").alias("__row"))
+    return numbered.join(stay, "__row", "left_semi").select(df.columns)
