@@ -31,7 +31,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts stays whose five-word shingles are 0.8 alike or more."""
+    """One document of each component of texts stays whose five-word shingles are 0.8 alike or more.
+
+    Fingerprints in tiles give the candidates, whole sets of shingles decide. Null and empty texts
+    are copies of each other; of a component the least id stays, null ids last, then the first row.
+    """
     return similar.keep_one(docs, words=5, similarity="4/5")
 
 
