@@ -22,7 +22,8 @@ Texts are judged as UTF-8 bytes; where equality is decided by hash, it is by 128
 
 Defined results: null is the empty text; texts shorter than the length lose nothing; long texts
 are cut in blocks; repeated rows repeat each other wholly; an empty table gives an empty table;
-extra columns pass through and input columns named like an output column are replaced.
+extra columns of any name pass through and input columns named like an output column are replaced;
+ids are of any type.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pisteflow.llm import textkernels as tk
+from pisteflow.llm.columns import shielded
 from pisteflow.plans.lineage import discard, materialize
 
 GRAM = 24
@@ -310,10 +312,12 @@ def repeated_spans(df: DataFrame, told: list, text_col: str, length: int) -> Dat
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", length: int = 200) -> DataFrame:
     """Every row with n_bytes, n_removed, n_spans, kept (binary) and spans (of removed bytes)."""
-    base = df.drop(*(c for c in OUTPUTS if c in df.columns))
-    told = [F.col(id_col).cast("long").alias("row_id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("row_hash")]
+    base, restored = shielded(df, (text_col, id_col), OUTPUTS)
+    # Rows are told by id and text; rows alike in both lose the same bytes.
+    whole = isinstance(df.schema[id_col].dataType, T.IntegralType)
+    told = [(F.col(id_col).cast("long") if whole else F.xxhash64(id_col)).alias("row_id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("row_hash")]
     spans = repeated_spans(base, told, text_col, length)
-    per = spans.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("first", "last")).alias("starts")).withColumnsRenamed({"row_id": "__i", "row_hash": "__h"})
+    per = spans.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("first", "last")).alias("__starts")).withColumnsRenamed({"row_id": "__i", "row_hash": "__h"})
     rows = base.withColumns({"__row_id": told[0], "__row_hash": told[1]})
     joined = rows.join(per, rows["__row_id"].eqNullSafe(per["__i"]) & (rows["__row_hash"] == per["__h"]), "left")
     keep = base.columns
@@ -323,7 +327,7 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans_out, kept = [], [], [], []
-            for text, starts in zip(batch.column(at), batch.column("starts"), strict=True):
+            for text, starts in zip(batch.column(at), batch.column("__starts"), strict=True):
                 raw = (text.as_py() or "").encode()
                 found: list[dict[str, int]] = []
                 if starts.is_valid:
@@ -348,4 +352,4 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
             arrays = [*(batch.column(c) for c in keep), *(pa.array(x, pa.int64()) for x in (sizes, removed, [len(s) for s in spans_out])), pa.array(kept, pa.binary()), pa.array(spans_out, kind)]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *OUTPUTS])
 
-    return joined.select(*keep, F.col(text_col).alias(at), "starts").mapInArrow(run, schema)
+    return restored(joined.select(*keep, F.col(text_col).alias(at), "__starts").mapInArrow(run, schema))
