@@ -8,8 +8,8 @@ are bucketed alike, so the merges don't shuffle what is stored.
 
 Defined results: null or empty text is one empty line, and lines without a key never go; long
 texts are split whole; a line counts once a document however often it recurs there; repeated rows
-count as documents of their own; an empty table gives an empty table; extra columns pass through
-and input columns named like an output column are replaced. Keys are compared by 128-bit hash.
+count as documents of their own; an empty table gives an empty table; extra columns of any name pass
+through and input columns named like an output column are replaced. Keys are compared by 128-bit hash.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pisteflow.plans.lineage import materialize, shared_dir
+from pisteflow.llm.columns import shielded
+from pisteflow.plans.lineage import discard, materialize, shared_dir
 
 WHITE_CHARS = " \t\n\x0b\x0c\r"
 #: Runs on a level before they are merged into the next.
@@ -109,7 +110,7 @@ def dedup_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", m
     batches: into how many batches, by hash of the id, rows are dealt before they go to the store.
     """
     spark = df.sparkSession
-    base = df.drop(*(c for c in OUTPUTS if c in df.columns))
+    base, restored = shielded(df, (text_col, id_col), OUTPUTS)
     dealt = F.pmod(F.xxhash64(id_col), F.lit(batches)).cast("int").alias("batch")
     counts = materialize(document_counts(base, text_col, dealt), "line-counts")
     buckets = max(4, min(4096, int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -123,14 +124,14 @@ def dedup_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", m
     told = {"__id": F.col(id_col), "__text": F.xxhash64(F.coalesce(text_col, F.lit("")))}
     placed = base.select(*(c.alias(n) for n, c in told.items()), F.posexplode(F.transform(_lines(F.col(text_col)), line_key)).alias("at", "key")).where("key <> ''")
     hits = placed.select("__id", "__text", "at", _hashes(F.col("key")).alias("h")).select("__id", "__text", "at", "h.h1", "h.h2").join(settled, HASH, "left_semi")
-    gone = hits.groupBy("__id", "__text").agg(F.collect_set("at").alias("gone")).withColumnsRenamed({"__id": "__gid", "__text": "__gtext"})
+    gone = hits.groupBy("__id", "__text").agg(F.collect_set("at").alias("__gone")).withColumnsRenamed({"__id": "__gid", "__text": "__gtext"})
     rows = base.withColumns(told)
     joined = rows.join(gone, rows["__id"].eqNullSafe(gone["__gid"]) & (rows["__text"] == gone["__gtext"]), "left")
 
     def cut(lines: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
-        text = F.when(F.col("gone").isNull(), F.coalesce(text_col, F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
+        text = F.when(F.col("__gone").isNull(), F.coalesce(text_col, F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
         return F.struct(F.size(lines).cast("long").alias("n_lines"), text.alias("kept_text"))
 
     made = joined.withColumn("__made", F.transform(F.array(_lines(F.col(text_col))), cut)[0])
-    return made.select(*base.columns, "__made.n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), "__made.kept_text")
+    return restored(made.select(*base.columns, "__made.n_lines", F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"), "__made.kept_text"))
