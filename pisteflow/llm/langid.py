@@ -7,10 +7,12 @@ highest cosine, and is rejected where that cosine lies far below what the langua
 have.
 
 Document frequencies are counted over all learning rows. Centroids and rejection distances are fit
-on a sample of SAMPLE_PER_LANG rows of each language, SAMPLE_TOTAL in all.
+on a sample of SAMPLE_PER_LANG rows of each language, SAMPLE_TOTAL in all. Rows are drawn by a hash of
+id and text, so the draw, and with it every prediction, doesn't depend on how the rows are dealt out.
 
-Defined results: null text and text without a letter are `und`, score 0, rejected; long texts are
-read whole; equal texts get equal results; if nothing can be learnt every text is `und`; an empty
+Defined results: null text and text without a letter are `und`, score 0, rejected; a text with a
+letter but without an n-gram gets a language with score 0 and isn't rejected; long texts are read
+whole; equal texts get equal results; rows alike in id and text are drawn as one; if nothing can be learnt every text is `und`; an empty
 table gives an empty table; extra columns pass through and input columns named like an output
 column are replaced.
 """
@@ -72,6 +74,18 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total.reshape(n, DIMS).astype(np.float32)
 
 
+def _packed(row: np.ndarray) -> bytes:
+    """Places and counts of the n-grams that a row has."""
+    at = np.flatnonzero(row)
+    return at.astype(np.uint16).tobytes() + row[at].astype(np.float32).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    n, out = len(raw) // 6, np.zeros(DIMS, np.float32)
+    out[np.frombuffer(raw, np.uint16, n)] = np.frombuffer(raw[2 * n :], np.float32)
+    return out
+
+
 def _blocks(column: pa.Array, rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for base in range(0, len(column), rows):
         for _, _, data, offsets in tk.runs(column.slice(base, rows)):
@@ -113,9 +127,14 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
     return c
 
 
-def fit(learn: DataFrame, text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> Model:
+def draw(seed: int, id_col: str, text_col: str) -> Column:
+    """A number from 0 to 1 for each row, by its id and text: the same however rows are dealt out."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 11) / float(1 << 53)
+
+
+def fit(learn: DataFrame, text_col: str = "text", lang_col: str = "lang", seed: int = 7, id_col: str = "doc_id") -> Model:
     """Learn from rows with a non-null language."""
-    learn = learn.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    learn = learn.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw(seed, id_col, text_col).alias("p"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = np.zeros(DIMS, np.int64), 0
@@ -135,14 +154,13 @@ def fit(learn: DataFrame, text_col: str = "text", lang_col: str = "lang", seed:
     sizes = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}
     most = min(SAMPLE_PER_LANG, SAMPLE_TOTAL // max(1, len(sizes)))
     shares = [F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, most / n))]
-    drawn = learn.withColumn("p", F.rand(seed))
-    sample = drawn.where(F.col("p") < F.element_at(F.create_map(*shares), F.col("lang"))) if sizes else None
+    sample = learn.where(F.col("p") < F.element_at(F.create_map(*shares), F.col("lang"))).dropDuplicates(["lang", "p"]) if sizes else None
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for base in range(0, batch.num_rows, 256):
                 part = batch.slice(base, 256)
-                vec = [r.astype(np.float16).tobytes() for data, offsets in _blocks(part.column("text")) for r in np.log1p(counts(data, offsets))]
+                vec = [_packed(r) for data, offsets in _blocks(part.column("text")) for r in counts(data, offsets)]
                 yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("p"), pa.array(vec, pa.binary())], names=["lang", "p", "vec"])
 
     rows = [] if sample is None else sorted((r["lang"], r["p"], r["vec"]) for r in sample.mapInArrow(featurise, "lang string, p double, vec binary").collect())
@@ -151,7 +169,7 @@ def fit(learn: DataFrame, text_col: str = "text", lang_col: str = "lang", seed:
     centroids, lang_of, least = [], [], []
     model = Model(langs, idf, np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros(0))
     for k, lang in enumerate(langs):
-        x = np.expm1(np.frombuffer(b"".join(r[2] for r in rows if r[0] == lang), np.float16).reshape(-1, DIMS).astype(np.float32))
+        x = np.stack([_unpacked(r[2]) for r in rows if r[0] == lang])
         v = model.vectors(x)
         c = _kmeans(v, CENTROIDS, rng)
         centroids.append(c)
@@ -188,9 +206,9 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: list[str]
             k = np.concatenate(lang) if lang else np.zeros(0, int)
             s = np.concatenate(score) if score else np.zeros(0)
             rejected = s < np.concatenate(limit) if limit else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(names[k], pa.string()), pa.array(s), pa.array(rejected)], names=[*keep, *OUTPUTS])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(names[k], pa.string()), pa.array(s), pa.array(rejected)], names=[*keep, *OUTPUTS])
 
-    return df.select(*(df[c] for c in keep), df[text_col].alias(at)).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(keep)), df[text_col].alias(at)).mapInArrow(run, schema)
 
 
 def remainder(id_col: str, n: int) -> Column:

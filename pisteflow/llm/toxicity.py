@@ -5,12 +5,15 @@ texts. The risk is that of positives, plus that of unlabelled texts less the pos
 it by the class prior; where that difference is negative on a batch its gradient is turned round,
 as it can only come from overfitting.
 
-Learning is bounded: at most POSITIVES and UNLABELLED texts in expectation, of which words in at
-least MIN_TEXTS texts become features. The class prior is the share of toxic rows among all
-labelled learning rows.
+Learning is bounded: at most POSITIVES and UNLABELLED texts in expectation, drawn by a hash of id
+and text, so that the draw doesn't depend on how rows are dealt out. Words in at least MIN_TEXTS of
+them can become features; they are counted by the cluster, and only the FEATURES chosen, and which
+of them each drawn text has, come to the driver: FEATURES * 2 bytes a text at most, whatever the
+texts' length. The class prior is the share of toxic rows among all labelled learning rows.
 
 Defined results: null and empty texts have no words and get the score of the bias alone; long
-texts are read whole, a word counting once; equal texts get equal scores; without positives every
+texts are read whole, a word counting once; equal texts get equal scores; rows alike in id and text
+are drawn as one; without positives every
 score is 0; an empty table gives an empty table; extra columns pass through and input columns
 named like an output column are replaced.
 """
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pisteflow.llm import textkernels as tk
+from pisteflow.llm.langid import draw
+from pisteflow.plans.lineage import discard, materialize
 
 POSITIVES, UNLABELLED = 3000, 6000
 MIN_TEXTS, STEM = 8, 4
@@ -78,34 +83,15 @@ class Model:
             return 1 / (1 + np.exp(-z))
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = 11, epochs: int = 80, batch: int = 512, rate: float = 0.1, decay: float = 1e-6) -> Model:
-    """Fit on texts given as arrays of word hashes."""
-    if not positive or not unlabelled:
+def train(words: np.ndarray, xp: np.ndarray, xu: np.ndarray, prior: float, seed: int = 11, epochs: int = 80, batch: int = 512, rate: float = 0.1, decay: float = 1e-6) -> Model:
+    """Fit on rows of positives and of unlabelled texts that say which of the words they have (1 or 0)."""
+    if not len(xp) or not len(xu):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -1000.0)
-    texts = positive + unlabelled
-    lengths = np.array([len(t) for t in texts])
-    word, column = np.unique(np.concatenate(texts), return_inverse=True)
-    text = np.repeat(np.arange(len(texts)), lengths)
-    in_p = np.bincount(column[text < len(positive)], minlength=len(word))
-    in_u = np.bincount(column[text >= len(positive)], minlength=len(word))
-    p, u = in_p / len(positive), in_u / len(unlabelled)
-    pooled = (in_p + in_u) / len(texts)
-    unlike = (p - u) / np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / len(positive) + 1 / len(unlabelled)))
-    unlike[in_p + in_u < MIN_TEXTS] = 0
-    chosen = np.sort(np.argsort(-unlike, kind="stable")[:FEATURES])
-    chosen = chosen[unlike[chosen] > BEYOND_CHANCE]
-    if not len(chosen):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
-    place = np.full(len(word), -1)
-    place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(texts), len(chosen)), dtype=np.float32)
-    known = place[column] >= 0
-    x[text[known], place[column][known]] = 1
-    xp, xu = x[: len(positive)], x[len(positive) :]
-
+    if not len(words):
+        return Model(words, np.zeros(0), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
     rng = np.random.default_rng(seed)
-    w, b = np.zeros(len(chosen)), 0.0
-    m, v, step = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1), 0
+    w, b = np.zeros(len(words)), 0.0
+    m, v, step = np.zeros(len(words) + 1), np.zeros(len(words) + 1), 0
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     rounds = max(1, len(xu) // batch)
     for _ in range(epochs):
@@ -126,7 +112,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             change = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
             w, b = w - change[:-1], b - change[-1]
-    return Model(word[chosen], w, float(b))
+    return Model(words, w, float(b))
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", toxic_col: str = "toxic") -> Model:
@@ -140,11 +126,11 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
     total = docs.count()
     if not n["p"] or not total:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -1000.0)
-    drawn = known.where("toxic = 1").where(F.rand(1) < POSITIVES / n["p"]).select(id_col)
-    columns = [F.coalesce(text_col, F.lit("")).alias("text"), F.rand(3).alias("p")]
+    drawn = known.where("toxic = 1").where(draw(1, id_col, "toxic") < POSITIVES / n["p"]).select(id_col)
+    columns = [F.coalesce(text_col, F.lit("")).alias("text"), draw(2, id_col, text_col).alias("p")]
     confirmed = docs.join(F.broadcast(drawn), id_col).select(F.lit(1).alias("kind"), *columns)
     # A positive may also be drawn as unlabelled text; its label is not used there.
-    sample = confirmed.union(docs.where(F.rand(2) < UNLABELLED / total).select(F.lit(0).alias("kind"), *columns))
+    sample = confirmed.union(docs.select(F.lit(0).alias("kind"), *columns).where(F.col("p") < UNLABELLED / total)).dropDuplicates(["kind", "p"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,12 +139,40 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
                 found = []
                 for _, _, data, offsets in tk.runs(part.column("text")):
                     row, h = words_of(data, offsets)
-                    found += np.split(h, np.searchsorted(row, np.arange(1, len(offsets) - 1)))
-                yield pa.RecordBatch.from_arrays([part.column("kind"), part.column("p"), pa.array([x.tobytes() for x in found], pa.binary())], names=["kind", "p", "words"])
+                    found += np.split(h.view(np.int64), np.searchsorted(row, np.arange(1, len(offsets) - 1)))
+                yield pa.RecordBatch.from_arrays([part.column("kind"), part.column("p"), pa.array(found, pa.list_(pa.int64()))], names=["kind", "p", "words"])
+
+    texts = materialize(sample.mapInArrow(run, "kind int, p double, words array<long>"), "drawn-texts")
+    size = {r["kind"]: r["n"] for r in texts.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    chosen = _features(texts, size.get(1, 0), size.get(0, 0))
+
+    def known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            have = [np.flatnonzero(np.isin(chosen, np.asarray(w.values).view(np.uint64))).astype(np.uint16).tobytes() for w in batch.column("words")]
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("p"), pa.array(have, pa.binary())], names=["kind", "p", "have"])
+
+    rows = sorted((r["kind"], r["p"], r["have"]) for r in texts.mapInArrow(known_words, "kind int, p double, have binary").collect())
+    discard(texts)
+
+    def matrix(kind: int) -> np.ndarray:
+        of = [np.frombuffer(r[2], np.uint16) for r in rows if r[0] == kind]
+        x = np.zeros((len(of), len(chosen)), np.float32)
+        for k, at in enumerate(of):
+            x[k, at] = 1
+        return x
+
+    return train(chosen, matrix(1), matrix(0), n["p"] / n["labelled"])
+
 
-    rows = sorted((r["kind"], r["p"], r["words"]) for r in sample.mapInArrow(run, "kind int, p double, words binary").collect())
-    as_words = lambda kind: [np.frombuffer(r[2], np.uint64) for r in rows if r[0] == kind]
-    return train(as_words(1), as_words(0), n["p"] / n["labelled"])
+def _features(texts: DataFrame, n_p: int, n_u: int) -> np.ndarray:
+    """Hashes, sorted, of the FEATURES words that positives have most beyond unlabelled texts."""
+    if not n_p or not n_u:
+        return np.zeros(0, np.uint64)
+    held = texts.select("kind", F.explode("words").alias("h")).groupBy("h").agg(F.count_if(F.col("kind") == 1).alias("p"), F.count_if(F.col("kind") == 0).alias("u")).where(F.col("p") + F.col("u") >= MIN_TEXTS)
+    pooled = (F.col("p") + F.col("u")) / float(n_p + n_u)
+    unlike = (F.col("p") / float(n_p) - F.col("u") / float(n_u)) / F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(1e-12)) * (1 / n_p + 1 / n_u))
+    top = held.select("h", unlike.alias("unlike")).where(F.col("unlike") > BEYOND_CHANCE).orderBy(F.desc("unlike"), "h").limit(FEATURES).toArrow()
+    return np.sort(top.column("h").to_numpy().view(np.uint64))
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -172,6 +186,6 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
         for batch in batches:
             got = [held.value.scores(data, offsets) for _, _, data, offsets in tk.runs(batch.column(at))]
             s = np.concatenate(got) if got else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*keep, *OUTPUTS])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*keep, *OUTPUTS])
 
-    return df.select(*(df[c] for c in keep), df[text_col].alias(at)).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(keep)), df[text_col].alias(at)).mapInArrow(run, schema)
