@@ -30,8 +30,10 @@ from pisteflow.llm import textkernels as tk
 from pisteflow.operators.graph import connected_components
 from pisteflow.plans.lineage import materialize
 
-#: Fingerprints aimed at in a tile; a cell with more is split by hash.
-TILE = 2048
+#: Fingerprints aimed at in a tile; a cell with more is split by hash, into PARTS tiles at most. A tile is
+#: sent to those of 2 * radius * (radius + 1) + 1 cells at most, so what is shuffled grows in proportion
+#: to the fingerprints, and only comparing grows as their square.
+TILE, PARTS = 2048, 8
 #: Rows of a tile compared at once with the other tile.
 STRIPE = 128
 SEED = 42
@@ -62,7 +64,7 @@ def fingerprint_run(data: np.ndarray, offsets: np.ndarray, words: int) -> np.nda
     some = np.flatnonzero(shingles)
     if len(some):
         bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes = np.add.reduceat(bits, at[some], axis=0, dtype=np.int32)
+        votes = np.stack([bits[a:b].sum(axis=0, dtype=np.int32) for a, b in zip(at[some].tolist(), at[some + 1].tolist(), strict=True)])
         major = (2 * votes > shingles[some, None]).astype(np.uint8)
         out[some] = np.packbits(major, axis=1, bitorder="little").view(np.uint64).ravel()
     return out
@@ -78,9 +80,9 @@ def fingerprints(df: DataFrame, text_col: str = "text", words: int = 4, out_col:
         for batch in batches:
             got = [fingerprint_run(data, offsets, words) for _, _, data, offsets in tk.runs(batch.column(at))]
             made = np.concatenate(got) if got else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(made.view(np.int64))], names=[*keep, out_col])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(made.view(np.int64))], names=[*keep, out_col])
 
-    return df.select(*(df[c] for c in keep), df[text_col].alias(at)).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(keep)), df[text_col].alias(at)).mapInArrow(run, schema)
 
 
 def forest(left: np.ndarray, right: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +126,7 @@ def links(distinct: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     low, high = half("fp")
     cells = distinct.select("fp", low.cast("int").alias("low"), high.cast("int").alias("high"))
     # One row a cell, 33 x 33 at most.
-    sizes = cells.groupBy("low", "high").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+    sizes = cells.groupBy("low", "high").agg(F.least(F.ceil(F.count("*") / tile), F.lit(PARTS)).cast("int").alias("parts"))
     split = cells.join(F.broadcast(sizes), ["low", "high"]).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     tiles = materialize(split.groupBy("low", "high", "part", "parts").agg(F.collect_list("fp").alias("fps")), "tiles")
     # Each unordered pair of near cells once: the other cell is the same one or a later one.
