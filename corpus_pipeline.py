@@ -4,8 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on every row that its predecess
 result is written as Parquet and read again as the next stage's docs. All stages but the last
 return the columns of ``documents``.
 
-Defined results are those of the operators: null texts have no language and go with the first
-stage; an empty table passes through all stages; extra columns stay until the last stage.
+Defined results are those of the operators, and alike in all stages: an empty table gives an empty
+table; null and empty texts have no language and go with the first stage (a stage given some keeps
+them by its own rule); very long texts are taken whole; null and repeated ids are rows like any other,
+told apart by number where one of several stays; extra columns of any name, also those of an
+operator's outputs, stay as they are until the last stage.
 """
 
 from __future__ import annotations
@@ -15,19 +18,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pisteflow.llm import bpe, exact, langid, mixing, similar
+from pisteflow.llm.columns import shielded
 from pisteflow.plans.lineage import materialize
 
 
+#: Columns that the operators read.
+COLUMNS = ("doc_id", "text", "lang", "source")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language, or far from what their language looks like, go."""
     model = langid.fit(docs.where(langid.remainder("doc_id", 3) != 1))
-    judged = langid.predict(docs.withColumn("__text", F.col("text")), model, text_col="__text", keep=docs.columns)
-    return judged.where(~F.col("rejected")).select(docs.columns)
+    inner, restored = shielded(docs, COLUMNS)
+    return restored(langid.predict(inner, model).where(~F.col("rejected")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the longest document stays."""
-    return exact.exact_dedup(docs).where("kept").select(docs.columns)
+    """Of equal texts the longest document stays (then least id, null last, then the first row)."""
+    inner, restored = shielded(docs, COLUMNS)
+    return restored(exact.exact_dedup(inner).where("kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +49,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in mixing order, some twice, some not at all."""
-    return mixing.mix(docs).select(docs.columns)
+    """Documents in mixing order, some twice, some not at all; null texts have no words and cost nothing."""
+    inner, restored = shielded(docs, COLUMNS)
+    return restored(mixing.mix(inner))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every document, and whether they decode to its text; of a null text there are none."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     out = bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN, outputs=("ids", "decoded"))
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")

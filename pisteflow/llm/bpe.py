@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Entries of a worker's pre-token memo, in two generations; the older one is dropped when the
@@ -279,10 +280,10 @@ def encode_decode(
                 batch = whole.slice(start, 512)
                 texts = [own.encode_text(t) for t in batch.column(at).to_pylist()]
                 made = {"ids_text": lambda: pa.array(texts, pa.string()), "decoded": lambda: pa.array([own.decode_text(t) for t in texts], pa.binary()), "ids": lambda: _as_lists(texts)}  # noqa: B023
-                columns = [batch.column(c) for c in keep] + [made[o]() for o in outputs]
+                columns = [batch.column(k) for k in range(len(keep))] + [made[o]() for o in outputs]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *outputs])
 
-    return df.select(*(df[c] for c in keep), df[text_col].alias(at)).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(keep)), df[text_col].alias(at)).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -295,6 +296,6 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col
         of = table.value.__getitem__
         for batch in batches:
             out = [None if ids is None else b"".join(map(of, ids)) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.binary())], names=[*keep, out_col])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), pa.array(out, pa.binary())], names=[*keep, out_col])
 
     return df.select(*keep).mapInArrow(run, schema)

@@ -26,6 +26,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pisteflow.llm import textkernels as tk
@@ -347,8 +348,8 @@ def findings(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("do
                         rows.append(base + r)
                         got.append(f)
             take = pa.array(rows, pa.int64())
-            columns = [batch.column(c).take(take) for c in keep]
+            columns = [batch.column(k).take(take) for k in range(len(keep))]
             kinds = (pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array([g[f.name] for g in got], t) for f, t in zip(FINDING.fields, kinds, strict=True))], names=[*keep, *FINDING.names])
 
-    return df.select(*(df[c] for c in keep), df[text_col].alias(at)).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(keep)), df[text_col].alias(at)).mapInArrow(run, schema)
