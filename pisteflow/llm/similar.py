@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pisteflow.llm import textkernels as tk
+from pisteflow.llm.rowbits import pick
 from pisteflow.operators.graph import connected_components, labels
 from pisteflow.plans.lineage import discard, materialize
 
@@ -402,7 +403,9 @@ def verified(texts: DataFrame, members: DataFrame, words: int, t: Fraction) -> D
     parts = members.groupBy("component").agg(need.alias("parts"))
     dealt = members.join(parts, "component").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     kept = ["component", "node", "n", "part", "parts"]
-    held = texts.join(materialize(dealt, "dealt"), "row").select(*kept, "text")
+    dealt = materialize(dealt, "dealt")
+    # Other texts than the members' don't move; their bit says so.
+    held = pick(texts, dealt, "row").join(dealt, "row").select(*kept, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,13 +416,16 @@ def verified(texts: DataFrame, members: DataFrame, words: int, t: Fraction) -> D
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), sets], names=[*kept, "set"])
 
     sets = materialize(held.mapInArrow(run, "component long, node long, n int, part int, parts int, set array<long>"), "sets")
+    discard(dealt)
     small = _linked(sets.where("parts = 1").select("component", "node", "set"), ["component"], [], lambda g, bag: _walk(bag, t))
     links = materialize(small, "links")
     large = sets.where("parts > 1")
     if large.isEmpty():
+        discard(sets)
         return links
     first = materialize(_with_leaders(large, t), "leader-links")
     rest = materialize(_outside_core(large, first, t), "outer-links")
+    discard(sets)
     return links.union(first).union(rest)
 
 
@@ -427,10 +433,13 @@ def components(texts: DataFrame, prints: DataFrame, words: int, similarity: str)
     """(node, component) of the nodes that have a similar one; texts: row and text; prints: of _prints()."""
     t = Fraction(similarity)
     nodes = materialize(prints.groupBy("node").agg(F.min("row").alias("row"), *(F.first(c).alias(c) for c in NODE[1:])), "nodes")
-    near = connected_components(materialize(candidates(nodes, t), "candidates"))
-    members = materialize(nodes.select("node", "n", "row").join(near, "node"), "members")
-    discard(nodes)
-    return connected_components(verified(texts, members, words, t))
+    close = materialize(candidates(nodes, t), "candidates")
+    members = materialize(nodes.select("node", "n", "row").join(connected_components(close), "node"), "members")
+    for done in (nodes, close):
+        discard(done)
+    found = connected_components(verified(texts, members, words, t))
+    discard(members)
+    return found
 
 
 def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", words: int = 5, similarity: str = "4/5") -> DataFrame:
@@ -446,4 +455,4 @@ def keep_one(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", word
     gone = materialize(placed.join(least, "component").where("row <> stays").select(F.col("row").alias("__row")), "gone")
     for done in (placed, least, found):
         discard(done)
-    return numbered.join(gone, "__row", "left_anti").select(*(F.col(f"`{c}`") for c in df.columns))
+    return pick(numbered, gone.withColumnRenamed("__row", "row"), "__row", among=False).select(*(F.col(f"`{c}`") for c in df.columns))

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from pisteflow.llm import similar
+from pisteflow.llm import rowbits, similar
 
 T = Fraction(4, 5)
 
@@ -128,3 +128,14 @@ def test_walk_is_all_pairs():
     of = joined([set(s) for s in sets])
     nodes, least = labels(np.append(i, np.arange(40)), np.append(j, np.arange(40)))
     assert all((of[a] == of[b]) == (least[a] == least[b]) for a in range(40) for b in range(40))
+
+
+@pytest.mark.parametrize("blocks", [1 << 17, 0])
+def test_pick(spark, monkeypatch, blocks):
+    monkeypatch.setattr(rowbits, "BLOCKS", blocks)
+    numbers = [0, 5, 63, 64, 16383, 16384, (7 << 33) + 1, 1 << 40]
+    every = spark.createDataFrame([(n + d,) for n in numbers for d in (0, 2)], "k long")
+    rows = spark.createDataFrame([(n,) for n in numbers], "row long")
+    assert sorted(r.k for r in rowbits.pick(every, rows, "k").collect()) == sorted(numbers)
+    assert sorted(r.k for r in rowbits.pick(every, rows, "k", among=False).collect()) == sorted(n + 2 for n in numbers)
+    assert rowbits.pick(every, rows.limit(0), "k", among=False).count() == len(numbers) * 2
