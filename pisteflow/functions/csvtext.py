@@ -32,19 +32,30 @@ def feature_url(ident: Column) -> Column:
 
 
 def source_urls(sources: Column) -> Column:
-    """T13."""
+    """Addresses, sorted, joined by one space."""
     url = lambda s: F.concat(F.when(s["type"] == "openstreetmap", SOURCE_URL["openstreetmap"]).otherwise(SOURCE_URL["skimap.org"]), s["id"])
-    return escape(F.array_join(F.transform(sources, url), ";"))
+    return escape(F.array_join(F.array_sort(F.transform(sources, url)), " "))
 
 
 def websites(values: Column) -> Column:
-    """T13."""
-    return escape(F.array_join(values, " "))
+    """Sorted, joined by one space."""
+    return escape(F.array_join(F.array_sort(values), " "))
+
+
+def area_names(areas: Column) -> Column:
+    """Names of ski areas (id, name), sorted, joined by commas; one without a name is empty."""
+    named = F.array_sort(F.transform(areas, lambda a: F.struct(F.coalesce(a["name"], F.lit("null")).alias("by"), F.coalesce(a["name"], F.lit("")).alias("n"))))
+    return escape(F.array_join(F.transform(named, lambda x: x["n"]), ","))
+
+
+def area_ids(areas: Column) -> Column:
+    """Ids of ski areas in their order, joined by semicolons, never quoted."""
+    return F.array_join(F.transform(areas, lambda a: a["id"]), ";")
 
 
 def list_cell(values: Column) -> Column:
-    """Sorted unique values joined by semicolons."""
-    return escape(reduce.clean_join(values, ";"))
+    """Sorted unique values that aren't empty, joined by semicolons."""
+    return escape(reduce.clean_join(F.filter(values, lambda v: v != ""), ";"))
 
 
 def places(value: Column) -> list[Column]:

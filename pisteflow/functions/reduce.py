@@ -1,4 +1,4 @@
-"""Reducers over lists and groups (A7-A17, A20, T13), as native columns."""
+"""Reducers over lists and groups (A7-A16, A20, T13), as native columns."""
 
 from __future__ import annotations
 
@@ -74,26 +74,6 @@ def merged_unique(*arrays: Column) -> Column:
     return F.array_distinct(F.flatten(F.array(*arrays)))
 
 
-def direction(runs: Column) -> Column:
-    """struct<oneway, reversed> of runs on one arc; runs: array<struct<oneway, reversed>>."""
-
-    def fold(a: Column, b: Column) -> Column:
-        make = lambda o, r: F.struct(o.alias("oneway"), r.alias("reversed"))
-        no, yes = F.lit(False), F.lit(True)
-        ao, bo = F.coalesce(a["oneway"], F.lit(None).cast("boolean")), b["oneway"]
-        return (
-            F.when(ao & bo & (a["reversed"] != b["reversed"]), make(no, a["reversed"]))
-            .when(~ao, make(no, b["reversed"]))
-            .when(~bo, make(no, a["reversed"]))
-            .when(ao, make(yes, a["reversed"]))
-            .when(bo, make(yes, b["reversed"]))
-            .otherwise(make(ao, a["reversed"]))
-        )
-
-    first = F.get(runs, 0)
-    return F.aggregate(F.slice(runs, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0))), first, fold)
-
-
 def nonzero(x: Column) -> Column:
     """Zero counts as missing."""
     return F.nullif(x, F.lit(0.0))

@@ -50,8 +50,8 @@ def is_numeric(value: Column) -> Column:
 
 
 def first_value(tags: Column, key: str) -> Column:
-    """The first of a list separated by semicolons, trimmed; blank is null."""
-    return F.nullif(F.trim(F.split_part(tag(tags, key), F.lit(";"), F.lit(1))), F.lit(""))
+    """The first of a list separated by semicolons, as it is written."""
+    return F.split_part(tag(tags, key), F.lit(";"), F.lit(1))
 
 
 def ref(tags: Column) -> Column:
@@ -60,10 +60,10 @@ def ref(tags: Column) -> Column:
 
 
 def name(tags: Column, key: str, fallback: str | None = None, ref_value: Column | None = None) -> Column:
-    """All names under a key, its language variants, and a fallback key; unique, joined.
+    """All names under a key and its language variants, else under a fallback key; unique, joined.
 
-    A leading ref is stripped with the separator after it. Special characters of the ref are taken
-    literally.
+    A leading ref goes with the spaces and the dash after it; without either it stays. Special
+    characters of the ref are taken literally.
     """
     roots = [key, *([fallback] if fallback else [])]
     keys = F.map_keys(tags)
@@ -71,13 +71,12 @@ def name(tags: Column, key: str, fallback: str | None = None, ref_value: Column
     found = of(key)
     if fallback:
         found = F.when(F.size(found) > 0, found).otherwise(of(fallback)) if len(roots) > 1 else found
-    values = F.array_distinct(F.filter(F.transform(found, lambda k: F.trim(F.try_element_at(tags, k))), lambda v: v.isNotNull() & (v != "")))
-    joined = F.nullif(F.array_join(values, ", "), F.lit(""))
+    values = F.array_distinct(F.transform(found, lambda k: F.try_element_at(tags, k)))
+    joined = F.when(F.size(found) > 0, F.array_join(values, ", "))
     if ref_value is None:
         return joined
-    quoted = F.concat(F.lit(r"^\Q"), ref_value, F.lit(r"\E\s*[-:.]?\s+"))
-    stripped = F.regexp_replace(joined, quoted, F.lit(""))
-    return F.when(ref_value.isNull(), joined).otherwise(F.coalesce(F.nullif(stripped, F.lit("")), joined))
+    quoted = F.concat(F.lit(r"^\Q"), ref_value, F.lit(r"\E(?:\s*-?\s+|-\s*)"))
+    return F.when(F.coalesce(ref_value, F.lit("")) == "", joined).otherwise(F.regexp_replace(joined, quoted, F.lit("")))
 
 
 def unsupported(tags: Column, key: str) -> Column:
@@ -94,20 +93,23 @@ def any_of(parts: Iterable[Column]) -> Column:
 
 
 def status_and_value(tags: Column, key: str) -> Column:
-    """struct<status, value> of a key, by the lifecycle of its feature.
+    """struct<status, value> of a key, by the lifecycle of its feature; empty values are null.
 
-    In order: unsupported states give nulls; `key=state` takes the value from `state:key` or
-    `state`; `state:key=value`; `state=yes` beside the key; else the feature operates.
+    Unsupported states give nulls. Where the key is there, `key=state` takes the value of the tag
+    that the state names; only where it isn't, `state:key=value` counts. Otherwise `state=yes`
+    beside it gives the status, and without that the feature operates.
     """
+    filled = lambda k: F.nullif(tag(tags, k), F.lit(""))
     make = lambda status, value: F.struct(F.lit(status).cast("string").alias("status"), value.alias("value"))
+    there = has_tag(tags, key)
     out = F.when(unsupported(tags, key), make(None, F.lit(None).cast("string")))
     for s in vocab.LIFECYCLE_STATES:
-        out = out.when(tag(tags, key) == s, make(s, first_defined(tags, f"{s}:{key}", s)))
+        out = out.when(tag(tags, key) == s, make(s, filled(s)))
     for s in vocab.LIFECYCLE_STATES:
-        out = out.when(has_tag(tags, f"{s}:{key}"), make(s, tag(tags, f"{s}:{key}")))
+        out = out.when(~there & has_tag(tags, f"{s}:{key}"), make(s, filled(f"{s}:{key}")))
     for s in vocab.LIFECYCLE_STATES:
-        out = out.when(tag(tags, s) == "yes", make(s, tag(tags, key)))
-    return out.otherwise(make("operating", tag(tags, key)))
+        out = out.when(tag(tags, s) == "yes", make(s, filled(key)))
+    return out.otherwise(make("operating", filled(key)))
 
 
 def run_uses(value: Column) -> Column:

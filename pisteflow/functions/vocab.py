@@ -21,7 +21,7 @@ LIFT_NAMES = {"cable_car": "Cable Car", "gondola": "Gondola", "chair_lift": "Cha
 PRIORITIES = {
     "difficulty": DIFFICULTIES,
     "grooming": GROOMINGS,
-    "status": STATUSES,
+    "status": ("operating", "construction", "planned", "proposed", "disused", "abandoned"),
     "gladed": (True, False),
     "patrolled": (True, False),
     "snowmaking": (True, False),
@@ -41,18 +41,33 @@ COLOUR_VALUES = {"green": "hsl(125, 100%, 33%)", "blue": "hsl(208, 100%, 33%)",
 LIFT_COLOURS = {"operating": "hsl(0, 82%, 42%)"}
 LIFT_COLOUR_OTHER = "hsl(0, 53%, 42%)"
 
-#: Closed ways become polygons by key: for any value, for these values, or for any but these.
-POLYGON_ANY = ("building", "landuse", "amenity", "leisure", "area", "boundary", "place", "shop", "tourism", "historic", "public_transport", "office", "building:part", "military", "ruins", "area:highway", "craft")
-POLYGON_ONLY = {
-    "highway": ("services", "rest_area", "escape"),
-    "waterway": ("riverbank", "dock", "boatyard", "dam"),
-    "barrier": ("city_wall", "ditch", "hedge", "retaining_wall", "wall", "spikes"),
-    "railway": ("station", "turntable", "roundhouse", "platform"),
-    "power": ("generator", "station", "sub_station", "transformer"),
-    "piste:type": ("downhill",),
-}
-POLYGON_EXCEPT = {
-    "natural": ("coastline", "ridge", "arete", "tree_row"),
-    "man_made": ("cutline", "embankment", "pipeline"),
-    "aeroway": ("taxiway",),
+#: Closed ways become polygons by key: for any value (True), for these values, or for any but these.
+#: Fixed values, in the order in which they are published.
+POLYGON_TAGS: dict[str, bool | dict[str, tuple[str, ...]]] = {
+    "building": True,
+    "highway": {"only": ("services", "rest_area", "escape")},
+    "natural": {"except": ("coastline", "ridge", "arete", "tree_row")},
+    "landuse": True,
+    "waterway": {"only": ("riverbank", "dock", "boatyard", "dam")},
+    "amenity": True,
+    "leisure": True,
+    "barrier": {"only": ("city_wall", "ditch", "hedge", "retaining_wall", "wall", "spikes")},
+    "railway": {"only": ("station", "turntable", "roundhouse", "platform")},
+    "area": True,
+    "boundary": True,
+    "man_made": {"except": ("cutline", "embankment", "pipeline")},
+    "power": {"only": ("generator", "station", "sub_station", "transformer")},
+    "place": True,
+    "shop": True,
+    "aeroway": {"except": ("taxiway",)},
+    "tourism": True,
+    "historic": True,
+    "public_transport": True,
+    "office": True,
+    "building:part": True,
+    "military": True,
+    "ruins": True,
+    "area:highway": True,
+    "craft": True,
+    "piste:type": {"only": ("downhill",)},
 }

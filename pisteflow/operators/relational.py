@@ -22,12 +22,12 @@ def members_of(objects: DataFrame, key: str = "key") -> DataFrame:
 
 
 def nest_summaries(objects: DataFrame, areas: DataFrame, summary: Column, key: str = "key", area_key: str = "key", out: str = "skiAreas") -> DataFrame:
-    """Summaries of an object's areas, ordered by area key."""
+    """Summaries (of any type) of an object's areas, ordered by area key."""
     links = objects.select(F.col(key).alias("__o"), F.explode("ski_areas").alias("__a"))
     named = areas.select(F.col(area_key).alias("__a"), summary.alias("__s"))
-    nested = links.join(named, "__a").groupBy("__o").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("__a"), F.to_json("__s").alias("j")))), lambda x: x["j"]).alias(out))
+    nested = links.join(named, "__a").groupBy("__o").agg(F.transform(F.array_sort(F.collect_list(F.struct("__a", "__s"))), lambda x: x["__s"]).alias(out))
     joined = objects.drop(out).join(nested, objects[key] == nested["__o"], "left").drop("__o")
-    return joined.withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+    return joined.withColumn(out, F.coalesce(out, F.array().cast(nested.schema[out].dataType)))
 
 
 def nest_stations(lifts: DataFrame, stations: DataFrame, value: Column, key: str = "key") -> DataFrame:
@@ -50,8 +50,11 @@ def eligible(df: DataFrame, activities: Column, unassigned_only: bool = False) -
 
 
 def lookup(df: DataFrame, cache: DataFrame, key: str, now_ms: int, ttl_ms: int | None = None) -> DataFrame:
-    """Value and hit of a cache (key, value, timestamp); entries past their time are misses."""
-    fresh = cache if ttl_ms is None else cache.where(F.col("timestamp") > now_ms - ttl_ms)
+    """Value and hit of a cache (key, value, timestamp); entries past their time are misses.
+
+    An entry of just that age is still fresh; a time of 0 means that none ever expires.
+    """
+    fresh = cache if not ttl_ms or ttl_ms < 0 else cache.where(F.col("timestamp") >= now_ms - ttl_ms)
     held = fresh.select(F.col("key").alias("__k"), F.col("value"), F.lit(True).alias("hit"))
     return df.drop("value", "hit").join(held, df[key] == held["__k"], "left").drop("__k").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
@@ -98,8 +101,8 @@ def cache_size(cache: DataFrame) -> int:
 
 
 def cache_cleanup(cache: DataFrame, now_ms: int, ttl_ms: int) -> DataFrame:
-    """A18, E18."""
-    return cache.where(F.col("timestamp") > now_ms - ttl_ms)
+    """Entries that have not expired."""
+    return cache if ttl_ms <= 0 else cache.where(F.col("timestamp") >= now_ms - ttl_ms)
 
 
 def country_and_region(places: DataFrame, iso: DataFrame) -> DataFrame:

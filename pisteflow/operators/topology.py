@@ -171,7 +171,11 @@ def same_run(props: dict) -> str:
 
 
 def join_segments(lines: list[tuple[Line, dict]]) -> list[tuple[Line, dict]]:
-    """Chains of equal runs, walked backwards and forwards from each line in order."""
+    """Chains of equal runs, walked backwards and forwards from each line in order.
+
+    From a point the first line that goes on is taken, else the first that has to be turned round;
+    where that first one is used already, or has a direction, the chain ends.
+    """
     lines = [x for x in lines if not degenerate(x[0])]
     kind = [same_run(p) for _, p in lines]
     starts: dict[str, list[int]] = {}
@@ -183,14 +187,12 @@ def join_segments(lines: list[tuple[Line, dict]]) -> list[tuple[Line, dict]]:
     fixed = lambda i: lines[i][1].get("oneway") is True
 
     def step(point: tuple, i: int, onward: dict[str, list[int]], turned: dict[str, list[int]]) -> tuple[int, bool] | None:
-        """The line that goes on from a point, and whether it has to be turned round."""
+        """The line that goes on from line i at a point, and whether it has to be turned round."""
         first = next((k for k in onward.get(point_key(point), ()) if k != i and kind[k] == kind[i]), None)
         if first is not None and first not in done:
             return first, False
-        if fixed(i):
-            return None
-        other = next((k for k in turned.get(point_key(point), ()) if k != i and kind[k] == kind[i] and not fixed(k) and k not in done), None)
-        return (other, True) if other is not None else None
+        other = next((k for k in turned.get(point_key(point), ()) if k != i and kind[k] == kind[i]), None)
+        return (other, True) if other is not None and not fixed(other) and other not in done else None
 
     out = []
     for i, (c, props) in enumerate(lines):
@@ -198,13 +200,15 @@ def join_segments(lines: list[tuple[Line, dict]]) -> list[tuple[Line, dict]]:
             continue
         done.add(i)
         coords, members = list(c), [props]
-        while (s := step(coords[0], i, ends, starts)) is not None:
+        k = i
+        while (s := step(coords[0], k, ends, starts)) is not None:
             k, turn = s
             done.add(k)
             piece = lines[k][0][::-1] if turn else lines[k][0]
             coords = list(piece[:-1]) + coords
             members.insert(0, lines[k][1])
-        while (s := step(coords[-1], i, starts, ends)) is not None:
+        k = i
+        while (s := step(coords[-1], k, starts, ends)) is not None:
             k, turn = s
             done.add(k)
             piece = lines[k][0][::-1] if turn else lines[k][0]

@@ -79,10 +79,12 @@ def prepare_spots(df: DataFrame) -> DataFrame:
 def load(ski_areas: DataFrame, runs: DataFrame, lifts: DataFrame, spots: DataFrame) -> DataFrame:
     """All objects; of equal keys the last type loaded wins, once each."""
     parts = [prepare_ski_areas(ski_areas), prepare_runs(runs), prepare_lifts(lifts), prepare_spots(spots)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    return every.dropDuplicates(["key"])
+    every = parts[0].withColumn("__rank", F.lit(0))
+    for rank, p in enumerate(parts[1:], 1):
+        every = every.union(p.withColumn("__rank", F.lit(rank)))
+    rest = [c for c in COLUMNS if c != "key"]
+    last = every.groupBy("key").agg(F.max_by(F.struct(*rest), F.struct("__rank", "properties")).alias("r"))
+    return last.select("key", "r.*").select(*COLUMNS)
 
 
 # -- geometry of areas ---------------------------------------------------------------------------

@@ -15,10 +15,8 @@ def polygon_tags(t: Column) -> Column:
     """The tags of a closed way make it a polygon."""
     value = lambda k: tags.tag(t, k)
     known = lambda k: value(k).isNotNull() & (value(k) != "no")
-    parts = [known(k) for k in vocab.POLYGON_ANY]
-    parts += [value(k).isin(*v) for k, v in vocab.POLYGON_ONLY.items()]
-    parts += [known(k) & ~value(k).isin(*v) for k, v in vocab.POLYGON_EXCEPT.items()]
-    return (value("area") != "no") & tags.any_of(F.coalesce(p, F.lit(False)) for p in parts) | value("area").isNull() & tags.any_of(F.coalesce(p, F.lit(False)) for p in parts)
+    parts = [known(k) if rule is True else value(k).isin(*rule["only"]) if "only" in rule else known(k) & ~value(k).isin(*rule["except"]) for k, rule in vocab.POLYGON_TAGS.items()]
+    return F.coalesce(value("area") != "no", F.lit(True)) & tags.any_of(F.coalesce(p, F.lit(False)) for p in parts)
 
 
 def _properties(df: DataFrame) -> Column:
@@ -79,13 +77,16 @@ def _assemble(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def to_features(elements: DataFrame) -> DataFrame:
-    """S3: (geometry, properties) of all nodes with tags, ways, and multipolygon relations.
+    """S3: (geometry, properties) of nodes, ways, and multipolygon relations.
 
-    Nothing is dropped as uninteresting. A relation's ways are gathered in one row, so its size
+    Nodes are features where they have tags, are a relation's member, or are in no way. Nothing is dropped as uninteresting. A relation's ways are gathered in one row, so its size
     bounds what one task holds; nothing else is grouped in Python.
     """
     nodes = elements.where("type = 'node'")
-    points = nodes.where("size(tags) > 0").select(F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array("lon", "lat"))).alias("parts"), F.array(F.lit(0)).alias("poly")).alias("geometry"), _properties(nodes).alias("properties"))
+    in_ways = elements.where("type = 'way'").select(F.explode("nodes").alias("id")).distinct().withColumn("__in_way", F.lit(True))
+    in_relations = elements.where("type = 'relation'").select(F.explode("members").alias("m")).where("m.type = 'node'").select(F.col("m.ref").alias("id")).distinct().withColumn("__member", F.lit(True))
+    shown = nodes.join(in_ways, "id", "left").join(in_relations, "id", "left").where("size(tags) > 0 or __in_way is null or __member")
+    points = shown.select(F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array("lon", "lat"))).alias("parts"), F.array(F.lit(0)).alias("poly")).alias("geometry"), _properties(shown).alias("properties"))
 
     ways = elements.where("type = 'way'")
     at = nodes.select(F.col("id").alias("node"), F.array("lon", "lat").alias("p"))

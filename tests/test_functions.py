@@ -28,7 +28,10 @@ def test_numbers(spark):
 def test_status(spark):
     cases = [
         ({"piste:type": "downhill"}, "operating", "downhill"),
-        ({"piste:type": "disused", "disused:piste:type": "downhill"}, "disused", "downhill"),
+        ({"piste:type": "disused", "disused": "downhill"}, "disused", "downhill"),
+        ({"piste:type": "disused", "disused:piste:type": "downhill"}, "disused", None),
+        ({"piste:type": "downhill", "proposed:piste:type": "nordic"}, "operating", "downhill"),
+        ({"piste:type": "", "planned": "yes"}, "planned", None),
         ({"proposed:piste:type": "nordic"}, "proposed", "nordic"),
         ({"abandoned": "yes", "piste:type": "downhill"}, "abandoned", "downhill"),
         ({"demolished": "yes", "piste:type": "downhill"}, None, None),
@@ -55,6 +58,25 @@ def test_names(spark):
     assert one(df.limit(1), tags.name(F.col("t"), "piste:name", "name")) == ["Main, Haupt"]
 
 
+def test_ref_in_front_of_a_name(spark):
+    names = {"11 - Peak Chair": "Peak Chair", "11-Peak Chair": "Peak Chair", "11- Peak Chair": "Peak Chair", "11 -Peak Chair": "11 -Peak Chair", "11 Peak Chair": "Peak Chair", "11. Peak": "11. Peak", "11Peak": "11Peak", " x ": " x "}
+    want = dict(names) | {"11 -Peak Chair": "-Peak Chair"}
+    df = tag_frame(spark, *({"name": n} for n in names))
+    assert one(df, tags.name(F.col("t"), "name", None, F.lit("11"))) == list(want.values())
+
+
+def test_lists_in_cells(spark):
+    areas = "array<struct<id:string,name:string>>"
+    df = spark.createDataFrame([([("b", "Zeta"), ("a", "Alpha"), ("c", None)], ["x.org", "a.org"], [("skimap.org", "9"), ("openstreetmap", "way/1")])], f"a {areas}, w array<string>, s array<struct<type:string,id:string>>")
+    row = df.select(csvtext.area_names(F.col("a")), csvtext.area_ids(F.col("a")), csvtext.websites(F.col("w")), csvtext.source_urls(F.col("s"))).first()
+    assert tuple(row) == ('"Alpha,Zeta,"', "b;a;c", "a.org x.org", "https://www.openstreetmap.org/way/1 https://www.skimap.org/SkiAreas/view/9")
+
+
+def test_priorities(spark):
+    df = spark.createDataFrame([(["proposed", "abandoned", "construction"],)], "s array<string>")
+    assert one(df, reduce.priority(F.col("s"), "status")) == ["construction"]
+
+
 def test_grooming_and_oneway(spark):
     df = tag_frame(spark, {"piste:grooming": "skating;classic"}, {"piste:grooming": "classic"}, {"piste:difficulty": "extreme"}, {"piste:grooming": "no"}, {})
     assert one(df, tags.grooming(F.col("t"))) == ["classic+skating", "classic", "backcountry", "backcountry", None]
@@ -68,12 +90,6 @@ def test_reducers(spark):
     assert tuple(row) == ("easy", "a, b", False)
 
 
-def test_direction(spark):
-    cases = [([(True, False), (True, True)], (False, False)), ([(None, False), (True, True)], (True, True)), ([(False, False), (None, True)], (False, True)), ([(True, False), (False, True)], (False, False)), ([(None, True), (None, False)], (None, True))]
-    df = spark.createDataFrame([(c[0],) for c in cases], "r array<struct<oneway:boolean,reversed:boolean>>")
-    assert [tuple(x) for x in one(df, reduce.direction(F.col("r")))] == [c[1] for c in cases]
-
-
 def test_csv_cells(spark):
     df = spark.createDataFrame([("a,b",), ('say "x"',), (None,), ("plain",)], "v string")
     assert one(df, csvtext.escape(F.col("v"))) == ['"a,b"', '"say ""x"""', "", "plain"]

@@ -25,7 +25,7 @@ def test_partial_overlap_splits():
 
 
 def test_adjoining_lines_join_either_way():
-    assert [c for c, _ in t.join_segments([run("X", (A, B)), run("X", (C, B)), run("X", (C, D))])] == [[A, B, C], [C, D]]
+    assert [c for c, _ in t.join_segments([run("X", (A, B)), run("X", (C, B)), run("X", (C, D))])] == [[A, B, C, D]]
     assert len(t.join_segments([run("X", (A, B), oneway=True), run("X", (C, B), oneway=True)])) == 2
     assert t.join_segments([run("X", (A, A))]) == []
 
