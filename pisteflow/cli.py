@@ -18,6 +18,7 @@ def main(args: list[str] | None = None) -> int:
     prepare = commands.add_parser("prepare", help="raw layers to areas, statistics and files")
     prepare.add_argument("--elevation", help="Parquet table of key and value")
     prepare.add_argument("--places", help="Parquet table of key and place")
+    prepare.add_argument("--snow-cover", help="Parquet table of weekly pixel series")
     merge = commands.add_parser("merge", help="outputs of several directories into one")
     merge.add_argument("target")
     merge.add_argument("directories", nargs="+")
@@ -29,7 +30,7 @@ def main(args: list[str] | None = None) -> int:
     clear.add_argument("path")
     ns = parser.parse_args(args)
     settings = config.from_environment()
-    paths = config.Paths(Path(settings.working_dir))
+    paths = config.Paths(Path(settings.working_dir), out=Path(settings.output_dir))
     if ns.command == "download":
         for group in config.download_plan(paths, (ns.endpoint, ns.second_endpoint), ns.second_source, settings.bbox):
             for url, path in group:
@@ -39,9 +40,12 @@ def main(args: list[str] | None = None) -> int:
     if ns.command == "prepare":
         read = lambda p: spark.read.parquet(p) if p else None
         timer = plans.Timer()
-        objects, stats = plans.prepare(spark, paths, read(ns.elevation), read(ns.places), timer)
+        with timer.phase("convert"):
+            plans.convert(spark, paths)
+        snow_cover = read(ns.snow_cover) if settings.snow_policy else None
+        objects, stats = plans.prepare(spark, paths, read(ns.elevation), read(ns.places), timer, settings.bbox, snow_cover)
         with timer.phase("outputs"):
-            plans.outputs(objects, stats, paths)
+            plans.outputs(objects, stats, paths, snow_cover)
         for depth, name, took in timer.took:
             print("  " * depth + f"{name}: {took:.1f} s")
     elif ns.command == "merge":

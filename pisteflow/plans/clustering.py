@@ -410,7 +410,18 @@ def drop_placeholders(objects: DataFrame) -> DataFrame:
     return objects.where(~((F.col("type") == "skiArea") & ids.is_placeholder(F.col("geometry"))))
 
 
-def cluster(objects: DataFrame) -> tuple[DataFrame, DataFrame]:
+def geocode_areas(objects: DataFrame, places: DataFrame) -> DataFrame:
+    """Areas that got no place from their members take that of their centroid; places: (key, place)."""
+    from pisteflow.plans.enrich import PLACE_KEY
+
+    c = geo.centroid(F.col("geometry"))
+    open_ = objects.where("type = 'skiArea' and size(places) = 0").select(F.col("key").alias("ski_area"), geo.geohash(c[0], c[1], PLACE_KEY).alias("__cell"))
+    found = open_.join(places.select(F.col("key").alias("__cell"), "place").where("place is not null"), "__cell")
+    kind = objects.schema["places"].dataType
+    return _apply_areas(objects, found.groupBy("ski_area").agg(F.min("place").alias("p")).select("ski_area", F.array("p").cast(kind).alias("places")), ["places"])
+
+
+def cluster(objects: DataFrame, places: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """All passes in order; (objects, statistics)."""
     with whole_structs(objects.sparkSession):
         step = lambda df, name: materialize(df.select(*COLUMNS), name)
@@ -424,4 +435,6 @@ def cluster(objects: DataFrame) -> tuple[DataFrame, DataFrame]:
         objects = step(pass_f(objects, edges), "pass-f")
         objects = step(associate_stations(objects), "stations")
         objects, stats = augment(objects)
+        if places is not None:
+            objects = geocode_areas(step(objects, "augmented"), places)
         return step(drop_placeholders(objects), "clustered"), materialize(stats, "statistics")

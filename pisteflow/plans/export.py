@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pisteflow.functions import csvtext, geo, vocab
-from pisteflow.functions.jsnum import js_round, to_fixed
+from pisteflow.functions.jsnum import js_round, number_text, to_fixed
 from pisteflow.functions.reduce import nonzero
-from pisteflow.sources.sinks import place_text
+from pisteflow.sources.sinks import feature_json, json_list, merged_json, place_text, with_nulls
 
 #: K4: columns of the CSV files, fixed values.
 CSV_HEADERS = {
@@ -75,18 +75,16 @@ def csv_run() -> Column:
     e = run_elevation(F.col("geometry"))
     c = F.col
     return csvtext.row([
-        csvtext.escape(c("name")), csvtext.escape(c("ref")), *csvtext.places(c("places")), csvtext.list_cell(F.transform("areas", lambda a: a["name"])),
+        csvtext.escape(c("name")), csvtext.escape(c("ref")), *csvtext.places(c("places")), csvtext.area_names(c("areas")),
         c("difficulty"), colour_name(c("difficultyConvention"), c("difficulty")), csvtext.yes_no(c("oneway")), csvtext.yes_no(c("lit")), csvtext.yes_no(c("gladed")), csvtext.yes_no(c("patrolled")),
         c("grooming"), F.array_join("uses", ";"), to_fixed(e["inclined"], 0), to_fixed(e["descent"], 0), to_fixed(e["ascent"], 0), to_fixed(e["average_pitch"], 2), to_fixed(e["max_pitch"], 2),
         to_fixed(e["lowest"], 0), to_fixed(e["highest"], 0), c("difficultyConvention"), csvtext.escape(c("wikidataID")), csvtext.websites(c("websites")), csvtext.feature_url(c("id")), c("id"),
-        *csvtext.geometry_cells(c("geometry")), csvtext.list_cell(F.transform("areas", lambda a: a["id"])), csvtext.source_urls(c("sources")), csvtext.escape(c("description")),
+        *csvtext.geometry_cells(c("geometry")), csvtext.area_ids(c("areas")), csvtext.source_urls(c("sources")), csvtext.escape(c("description")),
     ])
 
 
 def _plain(value: Column) -> Column:
     """A number as text, zero and null as nothing."""
-    from pisteflow.functions.jsnum import number_text
-
     return number_text(nonzero(value.cast("double")))
 
 
@@ -95,10 +93,10 @@ def csv_lift() -> Column:
     c = F.col
     e = lift_elevation(c("geometry"), c("duration"))
     return csvtext.row([
-        csvtext.escape(c("name")), csvtext.escape(c("ref")), csvtext.escape(c("refFRCAIRN")), c("liftType"), c("status"), c("access"), *csvtext.places(c("places")), csvtext.list_cell(F.transform("areas", lambda a: a["name"])),
+        csvtext.escape(c("name")), csvtext.escape(c("ref")), csvtext.escape(c("refFRCAIRN")), c("liftType"), c("status"), c("access"), *csvtext.places(c("places")), csvtext.area_names(c("areas")),
         csvtext.yes_no(c("oneway")), _plain(c("duration")), _plain(c("capacity")), _plain(c("occupancy")), csvtext.yes_no(c("detachable")), csvtext.yes_no(c("bubble")), csvtext.yes_no(c("heating")),
         to_fixed(e["inclined"], 0), to_fixed(e["vertical"], 0), to_fixed(e["speed"], 1), to_fixed(e["vertical_speed"], 2), to_fixed(e["lowest"], 0), to_fixed(e["highest"], 0), to_fixed(e["pitch"], 2),
-        csvtext.escape(c("wikidataID")), csvtext.websites(c("websites")), csvtext.feature_url(c("id")), c("id"), *csvtext.geometry_cells(c("geometry")), csvtext.list_cell(F.transform("areas", lambda a: a["id"])),
+        csvtext.escape(c("wikidataID")), csvtext.websites(c("websites")), csvtext.feature_url(c("id")), c("id"), *csvtext.geometry_cells(c("geometry")), csvtext.area_ids(c("areas")),
         csvtext.source_urls(c("sources")), csvtext.escape(c("description")),
     ])
 
@@ -136,7 +134,7 @@ def csv_spot() -> Column:
     station, crossing = c("spotType") == "lift_station", c("spotType") == "crossing"
     only = lambda cond, x: F.when(cond, x)
     return csvtext.row([
-        c("id"), csvtext.escape(c("spotType")), to_fixed(p[0], 6), to_fixed(p[1], 6), csvtext.source_urls(c("sources")), csvtext.list_cell(F.transform("areas", lambda a: a["name"])), *csvtext.places(c("places")),
+        c("id"), csvtext.escape(c("spotType")), to_fixed(p[0], 6), to_fixed(p[1], 6), csvtext.source_urls(c("sources")), csvtext.area_names(c("areas")), *csvtext.places(c("places")),
         only(crossing, csvtext.escape(c("dismount"))), only(station, csvtext.escape(c("name"))), only(station, csvtext.escape(c("position"))), only(station, csvtext.yes_no(c("entry"))), only(station, csvtext.yes_no(c("exit"))),
     ])
 
@@ -169,17 +167,22 @@ def short_name(name: Column) -> Column:
 
 
 def name_with_ref(name: Column, ref: Column) -> Column:
-    """F29."""
-    return F.nullif(F.concat_ws(" - ", F.nullif(ref, F.lit("")), F.nullif(name, F.lit(""))), F.lit(""))
+    """either, or both with a dash between."""
+    return F.when(ref.isNull(), name).when(name.isNull(), ref).otherwise(F.concat(ref, F.lit(" - "), name))
+
+
+def _area_ids() -> Column:
+    return F.transform("areas", lambda a: a["id"]).alias("skiAreas")
 
 
 def map_runs(df: DataFrame) -> DataFrame:
-    """runs that aren't only connections."""
+    """runs that aren't only connections; offsets of uses that a run has."""
     shown = df.where(~F.forall("uses", lambda u: u == "connection"))
     name = colour_name(F.col("difficultyConvention"), F.col("difficulty"))
     offset = lambda u: F.try_element_at(use_offsets(F.col("uses")), F.lit(u)).alias(u)
-    props = F.struct("id", name_with_ref(F.col("name"), F.col("ref")).alias("name"), "difficulty", "oneway", "lit", "gladed", "patrolled", colour_value(name).alias("color"), name.alias("colorName"), "grooming", F.col("skiAreas").alias("skiAreas"), "status", offset("downhill"), offset("nordic"), offset("skitour"), offset("other"))
-    return shown.select("geometry", props.alias("properties"))
+    named = F.struct("id", name_with_ref(F.col("name"), F.col("ref")).alias("name"), "difficulty", "oneway", "lit", "gladed", "patrolled", colour_value(name).alias("color"), name.alias("colorName"), "grooming", "snowmaking", "snowfarming", "tunnel", _area_ids())
+    offsets = F.struct(*(offset(u) for u in ("downhill", "nordic", "skitour", "other")))
+    return shown.select("geometry", merged_json(with_nulls(named), F.to_json(offsets)).alias("properties"))
 
 
 def map_lifts(df: DataFrame) -> DataFrame:
@@ -187,12 +190,19 @@ def map_lifts(df: DataFrame) -> DataFrame:
     kind = F.try_element_at(F.create_map(*(F.lit(x) for kv in vocab.LIFT_NAMES.items() for x in kv)), F.col("liftType"))
     name = F.when(F.col("name").isNotNull(), F.concat(F.col("name"), F.lit(" ("), kind, F.lit(")"))).otherwise(kind)
     colour = F.when(F.col("status") == "operating", vocab.LIFT_COLOURS["operating"]).otherwise(vocab.LIFT_COLOUR_OTHER)
-    return df.select("geometry", F.struct("id", "name", name.alias("name_and_type"), colour.alias("color"), "status", "skiAreas").alias("properties"))
+    props = F.struct("id", name_with_ref(name, F.col("ref")).alias("name_and_type"), colour.alias("color"), "status", "access", F.col("station_ids").alias("stationIds"), _area_ids(), "tunnel")
+    return df.select("geometry", with_nulls(props).alias("properties"))
+
+
+def spot_properties() -> Column:
+    """JSON text of what only some kinds of spots have; null for the others."""
+    station = with_nulls(F.struct("name", "liftId", "position", "entry", "exit"))
+    return F.when(F.col("spotType") == "lift_station", station).when(F.col("spotType") == "crossing", with_nulls(F.struct("dismount")))
 
 
 def map_spots(df: DataFrame) -> DataFrame:
-    """null properties are left out when written."""
-    return df.select("geometry", F.struct("id", "spotType", "skiAreas", "dismount", "name", "position", "entry", "exit").alias("properties"))
+    """a spot's kind decides which properties it has."""
+    return df.select("geometry", merged_json(with_nulls(F.struct("id", "spotType", _area_ids())), spot_properties()).alias("properties"))
 
 
 def map_ski_areas(df: DataFrame) -> DataFrame:
@@ -202,25 +212,76 @@ def map_ski_areas(df: DataFrame) -> DataFrame:
     s = F.col("statistics")
     flag = lambda a: F.when(F.array_contains("activities", a), True).alias(f"has_{a}")
     low, high = nonzero(s["minElevation"]), nonzero(s["maxElevation"])
-    props = F.struct("id", short_name(F.col("name")).alias("name"), "status", flag("downhill"), flag("nordic"), js_round(distance(s, "downhill")).alias("downhillDistance"), js_round(distance(s, "nordic")).alias("nordicDistance"), js_round(high - low).alias("vertical"))
+    props = F.struct("id", short_name(F.col("name")).alias("name"), "status", js_round(distance(s, "downhill")).alias("downhillDistance"), js_round(distance(s, "nordic")).alias("nordicDistance"), js_round(high).alias("maxElevation"), js_round(high - low).alias("vertical"))
     pts = central(F.col("geometry"))
     kind = F.when(F.size(pts) > 1, "MultiPoint").otherwise("Point")
-    return df.select(F.struct(kind.alias("type"), F.array(pts).alias("parts"), F.array(F.lit(0)).alias("poly")).alias("geometry"), props.alias("properties"))
+    return df.select(F.struct(kind.alias("type"), F.array(pts).alias("parts"), F.array(F.lit(0)).alias("poly")).alias("geometry"), merged_json(with_nulls(props), F.to_json(F.struct(flag("downhill"), flag("nordic")))).alias("properties"))
+
+
+MAP_LAYERS = {"skiArea": map_ski_areas, "run": map_runs, "lift": map_lifts, "spot": map_spots}
+
+# -- GeoJSON -------------------------------------------------------------------------------------
+
+
+def area_properties() -> Column:
+    """Properties of a ski area."""
+    return F.struct("id", F.lit("skiArea").alias("type"), "name", "status", "activities", "sources", "websites", "wikidataID", "places", "runConvention", "viewportHint", "statistics")
+
+
+def summary_json() -> Column:
+    """A ski area as the feature that is nested in others."""
+    return feature_json(F.col("geometry"), F.struct("id", "name", "activities", F.lit("skiArea").alias("type"), "status"))
+
+
+def features(df: DataFrame, kind: str) -> DataFrame:
+    """(geometry, properties) with ski areas, and for lifts stations, nested as features.
+
+    df: a layer's columns, areas array<struct<id, name, feature>>, for lifts stations array<string>,
+    for runs, where it is known, snowCoverHistory.
+    """
+    areas = F.concat(F.lit('{"skiAreas":'), json_list(F.transform("areas", lambda a: a["feature"])), F.lit("}"))
+    own = {
+        "run": ("type", "uses", "id", "name", "ref", "description", "difficulty", "difficultyConvention", "oneway", "lit", "gladed", "patrolled", "snowmaking", "snowfarming", "tunnel", "grooming", "status", "sources", "websites", "wikidataID", "places", "viewportHint", "elevationProfile"),
+        "lift": ("type", "id", "name", "liftType", "status", "ref", "refFRCAIRN", "description", "access", "oneway", "occupancy", "capacity", "duration", "bubble", "heating", "detachable", "tunnel", "sources", "websites", "wikidataID", "places", "viewportHint"),
+        "spot": ("type", "id", "spotType", "sources", "places", "viewportHint"),
+    }[kind]
+    parts = [with_nulls(F.struct(*own)), areas]
+    if kind == "lift":
+        parts.append(F.concat(F.lit('{"stations":'), json_list(F.coalesce("stations", F.array().cast("array<string>"))), F.lit("}")))
+    if kind == "spot":
+        parts.append(spot_properties())
+    if kind == "run" and "snowCoverHistory" in df.columns:
+        parts.append(F.to_json(F.struct("snowCoverHistory")))
+    return df.select("geometry", merged_json(*parts).alias("properties"))
 
 
 # -- GeoPackage ----------------------------------------------------------------------------------
 
 
-def package_columns(df: DataFrame, own: list[str]) -> DataFrame:
-    """Common columns, then a layer's own."""
-    p = F.col("places")
-    place = {
-        "countries": "localized.en.country", "regions": "localized.en.region", "localities": "localized.en.locality",
-        "country_codes": "iso3166_1Alpha2", "region_codes": "iso3166_2",
-    }
-    common = [F.col("id").alias("feature_id"), *([F.col("name")] if "name" in df.columns else []), *([F.col("status")] if "status" in df.columns else []), F.to_json("sources").alias("sources")]
-    common += [F.to_json(c).alias(c) for c in ("websites",) if c in df.columns] + [F.col("wikidataID").alias("wikidata_id")] * ("wikidataID" in df.columns)
-    return df.select("geometry", *common, *(place_text(p, v).alias(k) for k, v in place.items()), *own)
+def _package_places() -> list[Column]:
+    of = {"country_codes": "iso3166_1Alpha2", "region_codes": "iso3166_2", "countries": "localized.en.country", "regions": "localized.en.region", "localities": "localized.en.locality"}
+    return [place_text(F.col("places"), path).alias(name) for name, path in of.items()]
+
+
+def _package_areas() -> list[Column]:
+    names = F.filter(F.transform("areas", lambda a: a["name"]), lambda n: n != "")
+    return [F.array_join(F.transform("areas", lambda a: a["id"]), ",").alias("ski_area_ids"), F.array_join(names, ",").alias("ski_area_names")]
+
+
+def package_columns(df: DataFrame, kind: str) -> DataFrame:
+    """Geometry and a layer's columns, by name, in their published order."""
+    c = F.col
+    common = [c("id").alias("feature_id"), c("name"), c("status"), F.to_json("sources").alias("sources"), F.to_json("websites").alias("websites"), c("wikidataID").alias("wikidata_id"), *_package_places()] if kind != "spot" else []
+    own = {
+        "skiArea": lambda: [F.array_join("activities", ",").alias("activities"), c("statistics.minElevation").alias("min_elevation"), c("statistics.maxElevation").alias("max_elevation"), F.to_json("statistics").alias("statistics"), c("runConvention").alias("run_convention")],
+        "lift": lambda: [c("liftType").alias("lift_type"), c("access"), c("ref"), c("refFRCAIRN").alias("ref_fr_cairn"), c("description"), c("oneway"), c("occupancy"), c("capacity"), c("duration"), c("detachable"), c("bubble"), c("heating"), *_package_areas()],
+        "run": lambda: [
+            F.array_join("uses", ",").alias("uses"), c("ref"), c("description"), c("difficulty"), c("difficultyConvention").alias("difficulty_convention"), c("oneway"), c("lit"), c("gladed"), c("patrolled"), c("snowmaking"), c("snowfarming"), c("grooming"),
+            F.array_join(F.transform("elevationProfile.heights", number_text), ",").alias("elevation_profile_heights"), c("elevationProfile.resolution").alias("elevation_profile_resolution"), *_package_areas(),
+        ],
+        "spot": lambda: [c("id").alias("feature_id"), c("spotType").alias("spot_type"), F.to_json("sources").alias("sources"), *_package_areas(), *_package_places(), c("dismount"), c("name"), c("position"), c("entry"), c("exit")],
+    }[kind]()
+    return df.select("geometry", *common, *own)
 
 
 def points_of_areas(df: DataFrame) -> DataFrame:

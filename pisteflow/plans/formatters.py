@@ -6,8 +6,9 @@ feature of the layer is dropped by predicates, and one pass makes all columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pisteflow.functions import geo, ids, tags
 from pisteflow.functions.tags import tag
@@ -210,5 +211,17 @@ def format_spots(raw: DataFrame) -> DataFrame:
     """F16: any geometry at its centroid, 0 to 5 spots."""
     t = F.coalesce(F.col("properties.tags"), F.create_map().cast("map<string,string>"))
     point = F.struct(F.lit("Point").alias("type"), F.array(F.array(geo.centroid(F.col("geometry")))).alias("parts"), F.array(F.lit(0)).alias("poly"))
-    each = raw.select(point.alias("geometry"), _osm_source().alias("sources"), F.explode(spots_of(t)).alias("s"))
+    # The names of a struct's fields can get lost beside a generator, so that comes after it.
+    each = raw.select(point.alias("geometry"), _osm_source().alias("sources"), spots_of(t).alias("__spots")).select("geometry", "sources", F.explode("__spots").alias("s"))
     return each.select(ids.feature_id("spot", F.col("geometry")).alias("id"), "geometry", F.lit("spot").alias("type"), "s.*", _none("string").alias("skiAreas"), "sources", _none(PLACE).alias("places"), geo.viewport_hint(F.col("geometry")).alias("viewportHint"))
+
+
+#: What enrichment and clustering add to a layer's own properties.
+_ADDED = {"run": "elevationProfile struct<heights:array<double>,resolution:double,targetResolution:double>", "spot": "stationLift string, stationPosition string"}
+
+
+def layer_schema(spark: SparkSession, kind: str) -> T.StructType:
+    """The properties that a clustered object of a layer can have, as a schema to read them with."""
+    raw = spark.createDataFrame([], f"geometry {geo.GEOMETRY}, properties struct<type:string,id:bigint,tags:map<string,string>>")
+    made = {"run": format_runs, "lift": format_lifts, "spot": format_spots}[kind](raw).drop("geometry")
+    return T.StructType([*made.schema.fields, *(T.StructType.fromDDL(_ADDED[kind]).fields if kind in _ADDED else [])])

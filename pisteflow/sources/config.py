@@ -23,7 +23,35 @@ class Elevation:
     kind: str = "racemap"
     zooms: tuple[int, ...] = (12,)
     batch: int = 10_000
+    encoding: str = "mapbox"
     tile_size: int = 512
+    cache_dir: str = "data/tile-cache"
+    cache_tiles: int = 100_000
+    concurrency: int = 4
+
+
+@dataclass(frozen=True)
+class Geocoder:
+    """Where places come from, and how long they stay fresh."""
+
+    url: str
+    kind: str = "photon"
+    ttl_ms: int = 365 * 24 * 3600 * 1000
+
+
+@dataclass(frozen=True)
+class Store:
+    """Folder of the caches, their table prefix, and who may write."""
+
+    path: str = "data/cache"
+    prefix: str = ""
+    user: str = "postgres"
+    password: str | None = None
+
+    @staticmethod
+    def for_tests(name: str) -> Store:
+        """A store of its own for each test."""
+        return Store(prefix=f"test_{name}_")
 
 
 @dataclass(frozen=True)
@@ -32,26 +60,33 @@ class Settings:
 
     working_dir: str = "data"
     bbox: tuple[float, float, float, float] | None = None
+    output_dir: str = "data"
     elevation: Elevation | None = None
-    snow_policy: str = "none"
-    geocode_ttl_ms: int = 365 * 24 * 3600 * 1000
-    tiles_dir: str | None = None
+    geocoder: Geocoder | None = None
+    #: None where snow cover is off, else which pixels are fetched.
+    snow_policy: str | None = None
+    tiles: bool = False
+    store: Store = Store()
 
 
-def elevation_settings(url: str | None, kind: str = "racemap", zooms: str | None = None, batch: str | None = None) -> Elevation | None:
-    """S26."""
+def elevation_settings(url: str | None, kind: str = "racemap", zooms: str | None = None, batch: str | None = None, env: Mapping[str, str] | None = None) -> Elevation | None:
+    """S26; env: settings of tiles."""
     if not url:
         return None
     if kind not in ("racemap", "tileserver-gl", "tile"):
         raise ValueError(f"unknown kind of elevation server: {kind}")
-    default = (12,) if kind == "tileserver-gl" else (15,)
-    levels = tuple(int(z) for z in zooms.split(",")) if zooms else default
+    levels = tuple(int(z) for z in zooms.split(",")) if zooms else (12,)
     if any(not 0 <= z <= 30 for z in levels):
         raise ValueError(f"zoom out of range: {zooms}")
     size = int(batch) if batch else 10_000
     if size < 1:
         raise ValueError(f"batch size must be positive: {batch}")
-    return Elevation(url, kind, levels, size)
+    env = env or {}
+    encoding = env.get("ELEVATION_SERVER_TILE_ENCODING", "mapbox")
+    if encoding not in ("mapbox", "terrarium"):
+        raise ValueError(f"unknown encoding of tiles: {encoding}")
+    number = lambda name, default: int(env.get(f"ELEVATION_TILE_{name}") or default)
+    return Elevation(url, kind, levels, size, encoding, number("SIZE", 512), env.get("ELEVATION_TILE_CACHE_DIR", "data/tile-cache"), number("CACHE_MAX_TILES", 100_000), number("CONCURRENCY", 4))
 
 
 def from_environment(env: Mapping[str, str] = os.environ) -> Settings:
@@ -62,19 +97,27 @@ def from_environment(env: Mapping[str, str] = os.environ) -> Settings:
         if len(values) != 4:
             raise ValueError(f"a bounding box has four numbers: {env['BBOX']}")
         box = tuple(values)
-    policy = env.get("SNOW_COVER_FETCH_POLICY", "none")
+    policy = env.get("SNOW_COVER_FETCH_POLICY") or "full"
     if policy not in ("none", "incremental", "full"):
         raise ValueError(f"unknown snow cover policy: {policy}")
-    elevation = elevation_settings(env.get("ELEVATION_SERVER_URL"), env.get("ELEVATION_SERVER_TYPE", "racemap"), env.get("ELEVATION_SERVER_ZOOM"), env.get("ELEVATION_SERVER_BATCH_SIZE"))
-    return Settings(env.get("WORKING_DIR", "data"), box, elevation, policy, int(env.get("GEOCODING_CACHE_TTL_MS", 365 * 24 * 3600 * 1000)), env.get("TILES_DIR"))
+    elevation = elevation_settings(env.get("ELEVATION_SERVER_URL"), env.get("ELEVATION_SERVER_TYPE", "racemap"), env.get("ELEVATION_SERVER_ZOOM"), env.get("ELEVATION_SERVER_BATCH_SIZE"), env)
+    url = env.get("GEOCODING_SERVER_URL")
+    geocoder = None if url is None else Geocoder(url, env.get("GEOCODING_SERVER_TYPE") or "photon", int(env.get("GEOCODING_SERVER_URL_TTL") or Geocoder.ttl_ms))
+    store = Store(user=env.get("POSTGRES_USER") or "postgres", password=env.get("POSTGRES_PASSWORD"))
+    return Settings(env.get("WORKING_DIR", "data"), box, env.get("OUTPUT_DIR", "data"), elevation, geocoder, policy if env.get("ENABLE_SNOW_COVER") == "1" else None, env.get("GENERATE_TILES") == "1", store)
 
 
 @dataclass(frozen=True)
 class Paths:
-    """Names of all files of a run."""
+    """Names of all files of a run; outputs may have a folder of their own."""
 
     root: Path
     layers: tuple[str, ...] = field(default=LAYERS)
+    out: Path | None = None
+
+    @property
+    def target(self) -> Path:
+        return self.out or self.root
 
     def osm_json(self, layer: str) -> Path:
         return self.root / f"input_{layer}.osmjson"
@@ -87,15 +130,16 @@ class Paths:
 
     def output(self, layer: str, kind: str = "geojson") -> Path:
         if kind == "csv":
-            return self.root / "csv" / f"{layer}.csv"
-        return self.root / (f"{layer}.geojson" if kind == "geojson" else f"mapboxgl_{layer}.geojson")
+            return self.target / "csv" / f"{layer}.csv"
+        return self.target / (f"{layer}.geojson" if kind == "geojson" else f"mapboxgl_{layer}.geojson")
 
     @property
     def package(self) -> Path:
-        return self.root / "ski_data.gpkg"
+        return self.target / "ski_data.gpkg"
 
     def make(self) -> Paths:
-        (self.root / "csv").mkdir(parents=True, exist_ok=True)
+        self.root.mkdir(parents=True, exist_ok=True)
+        (self.target / "csv").mkdir(parents=True, exist_ok=True)
         return self
 
 

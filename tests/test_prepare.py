@@ -2,6 +2,7 @@
 
 import json
 import math
+import sqlite3
 from pathlib import Path
 
 import pytest
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from helpers import raw, shapes
 
 from pisteflow.operators import algebra
-from pisteflow.plans import enrich, export, prepare, snow
-from pisteflow.sources import config
+from pisteflow.plans import enrich, export, formatters, prepare, snow
+from pisteflow.sources import config, geojson
 from pisteflow.sources.cache import Cache
 from pisteflow.streaming import events
 
@@ -20,31 +21,69 @@ def _write(path: Path, *features) -> None:
     path.write_text(json.dumps({"type": "FeatureCollection", "features": rows}))
 
 
-def test_run_over_files(spark, tmp_path):
-    paths = config.Paths(tmp_path / "data").make()
-    way = lambda i, t: {"type": "way", "id": i, "tags": t}
-    _write(paths.raw("runs"), ("LineString", [[11.1164297, 47.5581563, 1500], [11.12, 47.558, 1200]], way(1, {"piste:type": "downhill", "name": "R"})), ("LineString", [[11.12, 47.558, 1200], [11.1223444, 47.5572422, 1000]], way(2, {"piste:type": "downhill", "name": "R"})))
-    _write(paths.raw("lifts"), ("LineString", [[11.1223444, 47.5572422, 1000], [11.1164297, 47.5581563, 1500]], way(3, {"aerialway": "chair_lift"})))
-    _write(paths.raw("ski_areas"), ("Point", [0, 0], way(4, {})))
-    _write(paths.raw("spots"), ("Point", [11.12, 47.5575], {"type": "node", "id": 5, "tags": {"piste:dismount": "yes"}}))
+def _download(paths, layer, *elements):
+    paths.osm_json(layer).write_text(json.dumps({"elements": list(elements)}))
+
+
+def test_run_over_downloads(spark, tmp_path):
+    """From OSM JSON, as it is downloaded, to all files of all layers."""
+    paths = config.Paths(tmp_path / "data", out=tmp_path / "out").make()
+    node = lambda i, x, y, **t: {"type": "node", "id": i, "lon": x, "lat": y, "tags": t or None}
+    way = lambda i, nodes, **t: {"type": "way", "id": i, "nodes": nodes, "tags": {k.replace("__", ":"): v for k, v in t.items()}}
+    a, b, c = node(1, 11.1164297, 47.5581563), node(2, 11.12, 47.558), node(3, 11.1223444, 47.5572422)
+    _download(paths, "runs", a, b, c, way(1, [1, 2], piste__type="downhill", name="R", ref="7"), way(2, [2, 3], piste__type="downhill", name="R", ref="7"))
+    _download(paths, "lifts", a, c, way(3, [3, 1], aerialway="chair_lift", name="Up", ref="A"))
+    _download(paths, "ski_areas", node(8, 0.0, 0.0))
+    _download(paths, "spots", {**node(5, 11.12, 47.5575), "tags": {"piste:dismount": "yes"}}, {**c, "tags": {"aerialway": "station", "name": "Valley"}})
     site = {"type": "relation", "id": 7, "tags": {"site": "piste", "name": "Site"}, "members": [{"type": "way", "ref": 3, "role": ""}]}
     (paths.root / "input_ski_area_sites.osmjson").write_text(json.dumps({"elements": [site]}))
+    second = lambda i, x, y: ("Point", [x, y], {"id": i, "name": f"S{i}", "scalerank": 1, "status": "operating", "activities": ["downhill"], "official_website": None})
+    _write(paths.root / "input_second_source.geojson", second("1", 60.0, 10.0), second("2", 12.5, 46.5))
+    assert prepare.convert(spark, paths) == ["ski_areas", "runs", "lifts", "spots"]
+    assert len(json.loads(paths.raw("ski_areas").read_text())["features"]) == 1  # a lone node
+    from pisteflow.functions import geo
+
+    heights = {1: 1500.0, 2: 1200.0, 3: 1000.0}
+    pts = spark.createDataFrame([(p["lon"], p["lat"], heights[p["id"]]) for p in (a, b, c)], "lon double, lat double, value double")
+    runs = formatters.format_runs(geojson.read_features(spark, f"file://{paths.raw('runs')}"))
+    along = prepare.normalised_runs(runs).select(F.explode(geo.profile_points(F.col("geometry.parts")[0])["points"]).alias("p")).select(F.col("p")[0].alias("lon"), F.col("p")[1].alias("lat"), F.lit(1100.0).alias("value"))
+    elevation = pts.union(along).select(geo.geohash(F.col("lon"), F.col("lat"), 10).alias("key"), F.col("value").cast("float").alias("value")).groupBy("key").agg(F.max_by("value", F.col("value") != 1100).alias("value"))
     timer = prepare.Timer()
-    objects, stats = prepare.prepare(spark, paths, timer=timer)
+    pixels = snow.run_pixels(runs).select("tile", "row", "col").distinct()
+    cover = pixels.withColumn("data", F.expr("array(named_struct('year', 2024, 'data', array(array(80, 0), array(60, 0))))"))
+    objects, stats = prepare.prepare(spark, paths, elevation, timer=timer, bbox=(5, 40, 20, 50), snow_cover=cover)
     rows = objects.collect()
     areas = [r for r in rows if r.type == "skiArea"]
-    assert [a.name for a in areas] == ["Site"] and areas[0].activities == ["downhill"]
-    assert {r.type: r.ski_areas for r in rows if r.type != "skiArea"} == {t: [areas[0].key] for t in ("run", "lift", "spot")}
-    run = next(r for r in rows if r.type == "run")
-    assert len(run.geometry.parts[0]) == 3  # two ways of one name were joined
-    assert [n for _, n, _ in timer.took] == ["cluster", "prepare"]
-    prepare.outputs(objects, stats, paths)
-    written = json.loads(paths.output("ski_areas").read_text())["features"]
-    assert written[0]["properties"]["statistics"]["lifts"]["byType"]["chair_lift"]["count"] == 1
-    line = paths.output("ski_areas", "csv").read_text().splitlines()
-    assert line[0] == export.CSV_HEADERS["skiArea"] and line[1].startswith("Site,,,,operating,yes,no,0,,500,1000,1500,1,,")
-    merged = prepare.merge_outputs(spark, [str(paths.root), str(paths.root)], str(tmp_path / "merged"))
-    assert merged["ski_areas.geojson"] == 2 and merged["csv/ski_areas.csv"] == 2 and merged["ski_areas_point"] == 1
+    assert sorted(a.name for a in areas) == ["S2", "Site"]
+    home = next(a.key for a in areas if a.name == "Site")
+    assert all(r.ski_areas == [home] for r in rows if r.type != "skiArea") and len(rows) == 6
+    assert [n for _, n, _ in timer.took] == ["cluster", "snow cover", "prepare"]
+    prepare.outputs(objects, stats, paths, cover)
+    read = lambda layer, kind="geojson": [f["properties"] for f in json.loads(paths.output(layer, kind).read_text())["features"]]
+    area = next(p for p in read("ski_areas") if p["name"] == "Site")
+    assert area["statistics"]["lifts"]["byType"]["chair_lift"]["count"] == 1 and area["statistics"]["snowCover"]["overall"][0]["days"] == [[1, 80, 100], [8, 60, 100]]
+    run, lift = read("runs")[0], read("lifts")[0]
+    assert run["skiAreas"][0]["properties"] == {"id": home, "name": "Site", "activities": ["downhill"], "type": "skiArea", "status": "operating"}
+    assert run["elevationProfile"]["targetResolution"] == 25.0 and len(run["snowCoverHistory"]) == 1 and run["tunnel"] is None
+    assert [s["properties"]["name"] for s in lift["stations"]] == ["Valley"] and lift["stations"][0]["properties"]["position"] == "bottom"
+    assert lift["stations"][0]["properties"]["liftId"] == lift["id"]
+    spots = {p["spotType"]: p for p in read("spots")}
+    assert spots["crossing"]["dismount"] == "yes" and "entry" not in spots["crossing"] and spots["lift_station"]["entry"] is None
+    shown = read("runs", "map")[0]
+    assert shown["name"] == "7 - R" and shown["downhill"] == 0 and "nordic" not in shown and shown["skiAreas"] == [home] and "snowmaking" in shown
+    assert read("lifts", "map")[0]["name_and_type"] == "A - Up (Chairlift)" and len(read("lifts", "map")[0]["stationIds"]) == 1
+    assert next(p for p in read("ski_areas", "map") if p["name"] == "Site")["maxElevation"] == 1500 and "has_nordic" not in read("ski_areas", "map")[0]
+    lines = {n: paths.output(n, "csv").read_text().splitlines() for n in ("ski_areas", "runs", "lifts", "spots")}
+    assert all(lines[n][0] == export.CSV_HEADERS[k] for n, k in (("ski_areas", "skiArea"), ("runs", "run"), ("lifts", "lift"), ("spots", "spot")))
+    assert any(x.startswith("Site,,,,operating,yes,no,0,,500,1000,1500,1,,") for x in lines["ski_areas"]) and lines["runs"][1].startswith("R,7,,,,Site,")
+    db = sqlite3.connect(paths.package)
+    tables = {r[0] for r in db.execute("SELECT table_name FROM gpkg_contents")}
+    assert tables == {"ski_areas_point", "runs_linestring", "lifts_linestring", "spots_point"}
+    assert db.execute("SELECT uses, ski_area_names, elevation_profile_resolution IS NOT NULL FROM runs_linestring").fetchall() == [("downhill", "Site", 1)]
+    assert db.execute("SELECT lift_type, ref, max_elevation FROM lifts_linestring, ski_areas_point WHERE ski_areas_point.name = 'Site'").fetchall() == [("chair_lift", "A", 1500.0)]
+    db.close()
+    merged = prepare.merge_outputs(spark, [str(paths.target), str(paths.target)], str(tmp_path / "merged"))
+    assert merged["ski_areas.geojson"] == 4 and merged["csv/ski_areas.csv"] == 4 and merged["ski_areas_point"] == 2 and merged["csv/spots.csv"] == 4
 
 
 def test_settings(tmp_path):
@@ -52,6 +91,9 @@ def test_settings(tmp_path):
     assert 'way["planned:aerialway"];' in config.layer_query("lifts")
     s = config.from_environment({"BBOX": "[1,2,3,4]", "ELEVATION_SERVER_URL": "x", "ELEVATION_SERVER_TYPE": "tile", "ELEVATION_SERVER_ZOOM": "15,12"})
     assert s.bbox == (1, 2, 3, 4) and s.elevation.zooms == (15, 12)
+    assert s.output_dir == "data" and s.geocoder is None and s.snow_policy is None and s.elevation.encoding == "mapbox"
+    t = config.from_environment({"OUTPUT_DIR": "o", "GEOCODING_SERVER_URL": "g", "GEOCODING_SERVER_URL_TTL": "5", "ENABLE_SNOW_COVER": "1", "GENERATE_TILES": "1"})
+    assert (t.output_dir, t.geocoder.kind, t.geocoder.ttl_ms, t.snow_policy, t.tiles) == ("o", "photon", 5, "full", True)
     with pytest.raises(ValueError):
         config.from_environment({"BBOX": "1,2"})
     tries = []
