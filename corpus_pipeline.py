@@ -24,10 +24,18 @@ from pisteflow.plans.lineage import materialize
 
 #: Columns that the operators read.
 COLUMNS = ("doc_id", "text", "lang", "source")
+#: Rows that go to a Python worker at once: texts are long, and each batch is held outside the heap
+#: by the executor as well as by its worker.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language, or far from what their language looks like, go."""
+    _small_batches(spark)
     model = langid.fit(docs.where(langid.remainder("doc_id", 3) != 1))
     inner, restored = shielded(docs, COLUMNS)
     return restored(langid.predict(inner, model).where(~F.col("rejected")))
@@ -45,6 +53,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Fingerprints in tiles give the candidates, whole sets of shingles decide. Null and empty texts
     are copies of each other; of a component the least id stays, null ids last, then the first row.
     """
+    _small_batches(spark)
     return similar.keep_one(docs, words=5, similarity="4/5")
 
 
@@ -56,6 +65,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text; of a null text there are none."""
+    _small_batches(spark)
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     out = bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN, outputs=("ids", "decoded"))
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
