@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from pisteflow.functions import geo
 
 #: Radii of the reference spheroid (m).
-_A, _B = 6378137.0, 6356752.314245
+SEMI_MAJOR_M, SEMI_MINOR_M = 6378137.0, 6356752.314245
+ECCENTRICITY2 = 1 - (SEMI_MINOR_M / SEMI_MAJOR_M) ** 2
 
 
 def plain(g) -> tuple[str, list[np.ndarray], list[int]]:
@@ -24,10 +25,9 @@ def plain(g) -> tuple[str, list[np.ndarray], list[int]]:
 
 def scale(lat0: float) -> tuple[float, float]:
     """Metres per degree of longitude and latitude on the spheroid."""
-    e2 = 1 - (_B / _A) ** 2
     s = math.sin(math.radians(lat0))
-    w = 1 - e2 * s * s
-    return math.radians(1) * _A / math.sqrt(w) * math.cos(math.radians(lat0)), math.radians(1) * _A * (1 - e2) / w**1.5
+    w = 1 - ECCENTRICITY2 * s * s
+    return math.radians(1) * SEMI_MAJOR_M / math.sqrt(w) * math.cos(math.radians(lat0)), math.radians(1) * SEMI_MAJOR_M * (1 - ECCENTRICITY2) / w**1.5
 
 
 def _segments(g) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +223,12 @@ def valid_geometry(geometry: Column) -> Column:
 
 @F.pandas_udf(T.DoubleType())
 def distance(g: pd.DataFrame, h: pd.DataFrame) -> pd.Series:
-    """Least distance in metres between two geometries."""
-    return pd.Series([distance_m(a, b) for a, b in zip(_rows(g), _rows(h), strict=True)], dtype=float)
+    """Least distance in metres between two geometries; null where one is null."""
+    out = np.full(len(g), np.nan)
+    some = np.flatnonzero((g["type"].notna() & h["type"].notna()).to_numpy())
+    for k, a, b in zip(some.tolist(), _rows(g.iloc[some]), _rows(h.iloc[some]), strict=True):
+        out[k] = distance_m(a, b)
+    return pd.Series(out).where(~np.isnan(out))
 
 
 @F.pandas_udf(T.BooleanType())

@@ -1,4 +1,4 @@
-"""Spatial joins over a grid of cells (J2-J5, J9, J11, J12): equi-join on cells, then exact kernels."""
+"""Spatial joins over a grid of cells (J2-J5, J9, J11, J12): equi-join on cells, then exact distances."""
 
 from __future__ import annotations
 
@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 
 from pisteflow.functions import geo
 from pisteflow.operators import kernels
-from pisteflow.plans.lineage import materialize
+from pisteflow.plans.lineage import discard, materialize
 
-#: Height of a cell in degrees. A geometry is in all cells that its widened box meets.
+#: Least height of a cell in degrees. A geometry is in all cells that its widened box meets; cells are
+#: never smaller than what boxes are widened by, so a point has nine at most.
 CELL = 0.01
 #: Cells of one geometry at this size at most; a larger one uses coarser cells.
 LEVELS, CELLS = (1, 16, 256), 64
 _M_PER_DEGREE = 110574.0
+#: A nearest neighbour further than this is looked for in rings, each RING times as wide as the one before.
+RINGS_FROM_M, RING = 2000.0, 4
+
+
+def _levels(widen_m: float) -> tuple[int, ...]:
+    """Cell sizes, in units of CELL, for boxes that are widened by so many metres."""
+    least = max(1, math.ceil(widen_m / _M_PER_DEGREE / CELL))
+    return tuple(least * v for v in LEVELS)
 
 
 def _level_cells(box: Column, widen_m: float, level: int) -> Column:
@@ -34,44 +43,52 @@ def _level_cells(box: Column, widen_m: float, level: int) -> Column:
         x0, x1 = F.floor((box["west"] - dx + 180) / width), F.floor((box["east"] + dx + 180) / width)
         return F.transform(F.sequence(x0, x1), lambda x: F.struct(F.lit(level).alias("level"), F.pmod(x, n).alias("x"), y.alias("y")))
 
-    return F.flatten(F.transform(row, of_row))
+    return F.array_distinct(F.flatten(F.transform(row, of_row)))
 
 
-def _level(box: Column) -> Column:
+def _level(box: Column, levels: tuple[int, ...]) -> Column:
     """Finest level on which the box has few cells."""
-    out = F.lit(LEVELS[-1])
-    for level in reversed(LEVELS[:-1]):
+    out = F.lit(levels[-1])
+    for level in reversed(levels[:-1]):
         size = CELL * level
         many = ((box["north"] - box["south"]) / size + 1) * ((box["east"] - box["west"]) / size + 1)
         out = F.when(many <= CELLS, F.lit(level)).otherwise(out)
     return out
 
 
-def candidates(left: DataFrame, right: DataFrame, widen_m: float = 0.0, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame, widen_m: float = 0.0, left_key: str = "lkey", right_key: str = "rkey", carry: bool = False) -> DataFrame:
     """(left_key, right_key) of geometries whose widened boxes meet, each pair once.
 
-    Frames have their key and a geometry. Each geometry lies on the level of its size; the levels
-    of a pair meet on the coarser one, so both sides are also placed on every coarser level, with
-    a mark of where they are at home; a pair joins on a level where one of both is at home. A cell
-    with very many rows is a skewed key, which AQE splits, as neither side is aggregated.
+    Frames have their key and a geometry; carry adds the geometries as lg and rg. Each geometry lies
+    on the level of its size; the levels of a pair meet on the coarser one, so both sides are also
+    placed on every coarser level, with a mark of where they are at home; a pair joins on a level
+    where one of both is at home. Of several cells that a pair shares the least one gives the pair,
+    so nothing has to be made distinct. A cell with very many rows is a skewed key, which AQE splits,
+    as neither side is aggregated.
     """
+    levels = _levels(widen_m)
 
-    def placed(df: DataFrame, key: str, widen: float) -> DataFrame:
+    def placed(df: DataFrame, key: str, widen: float, name: str) -> DataFrame:
         box = geo.bbox(F.col("geometry"))
-        first = df.where(F.col("geometry.parts")[0][0][0] <= 180).select(key, box.alias("b"))
-        first = first.withColumn("home", _level(F.col("b")))
-        each = F.flatten(F.array(*(F.when(F.col("home") <= v, _level_cells(F.col("b"), widen, v)).otherwise(F.array().cast("array<struct<level:int,x:bigint,y:bigint>>")) for v in LEVELS)))
-        return first.select(key, "b", "home", F.explode(each).alias("c")).select(key, "b", "home", "c.*")
-
-    a = placed(left, left_key, widen_m).withColumnsRenamed({"b": "ba", "home": "ha"})
-    b = placed(right, right_key, 0.0).withColumnsRenamed({"b": "bb", "home": "hb"})
-    joined = a.join(b, ["level", "x", "y"]).where(F.col("level") == F.greatest("ha", "hb"))
+        kept = [F.col("geometry").alias(f"{name}g")] if carry else []
+        first = df.where(F.col("geometry.parts")[0][0][0] <= 180).select(key, *kept, box.alias("b"))
+        first = first.withColumn("home", _level(F.col("b"), levels))
+        each = F.flatten(F.array(*(F.when(F.col("home") <= v, _level_cells(F.col("b"), widen, v)).otherwise(F.array().cast("array<struct<level:int,x:bigint,y:bigint>>")) for v in levels)))
+        listed = first.withColumn("cells", each)
+        # Where a side has one cell on each level a pair meets once in any case.
+        own = F.when(F.size("cells") > len(levels), F.col("cells"))
+        return listed.select(key, *(f"{name}g" for _ in kept), F.col("b").alias(f"b{name}"), F.col("home").alias(f"h{name}"), own.alias(f"c{name}"), F.explode("cells").alias("c")).select("*", "c.*").drop("c")
+
+    joined = placed(left, left_key, widen_m, "l").join(placed(right, right_key, 0.0, "r"), ["level", "x", "y"]).where(F.col("level") == F.greatest("hl", "hr"))
     dy = widen_m / _M_PER_DEGREE
-    dx = F.lit(widen_m / 111320.0) / F.cos(F.radians(F.least(F.greatest(F.abs(F.col("ba.south")), F.abs(F.col("ba.north"))) + dy, F.lit(89.0))))
-    near = (F.col("ba.south") - dy <= F.col("bb.north")) & (F.col("bb.south") <= F.col("ba.north") + dy)
+    dx = F.lit(widen_m / 111320.0) / F.cos(F.radians(F.least(F.greatest(F.abs(F.col("bl.south")), F.abs(F.col("bl.north"))) + dy, F.lit(89.0))))
+    near = (F.col("bl.south") - dy <= F.col("br.north")) & (F.col("br.south") <= F.col("bl.north") + dy)
     # The two boxes may lie on both sides of the antimeridian.
-    gap = lambda shift: (F.col("ba.west") - dx <= F.col("bb.east") + shift) & (F.col("bb.west") + shift <= F.col("ba.east") + dx)
-    return joined.where(near & (gap(0) | gap(360) | gap(-360))).select(left_key, right_key).distinct()
+    gap = lambda shift: (F.col("bl.west") - dx <= F.col("br.east") + shift) & (F.col("br.west") + shift <= F.col("bl.east") + dx)
+    here = F.struct(F.col("level").alias("level"), F.col("x").alias("x"), F.col("y").alias("y"))
+    shared = F.array_min(F.filter(F.array_intersect("cl", "cr"), lambda c: c["level"] == F.col("level")))
+    once = F.when(F.col("cl").isNotNull() & F.col("cr").isNotNull(), shared == here).otherwise(F.lit(True))
+    return joined.where(near & (gap(0) | gap(360) | gap(-360)) & once).select(left_key, right_key, *(("lg", "rg") if carry else ()))
 
 
 def _with_geometries(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -80,14 +97,29 @@ def _with_geometries(pairs: DataFrame, left: DataFrame, right: DataFrame, left_k
     return pairs.join(a, left_key).join(b, right_key)
 
 
+def point_metres(p: Column, q: Column) -> Column:
+    """G8 of two positions: distance in the local frame of their mean latitude, as in the kernels."""
+    e2 = kernels.ECCENTRICITY2
+    lat = F.radians((p[1] + q[1]) / 2)
+    w = 1 - F.lit(e2) * F.sin(lat) * F.sin(lat)
+    kx = F.lit(math.radians(1) * kernels.SEMI_MAJOR_M) / F.sqrt(w) * F.cos(lat)
+    ky = F.lit(math.radians(1) * kernels.SEMI_MAJOR_M * (1 - e2)) / F.pow(w, F.lit(1.5))
+    dx, dy = (p[0] - q[0]) * kx, (p[1] - q[1]) * ky
+    return F.sqrt(dx * dx + dy * dy)
+
+
 def within_distance(left: DataFrame, right: DataFrame, metres: float, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
-    """(left_key, right_key, metres) of pairs at most so far apart."""
-    pairs = _with_geometries(candidates(left, right, metres, left_key, right_key), left, right, left_key, right_key)
+    """(left_key, right_key, metres) of pairs at most so far apart.
+
+    Two points are measured natively; only other shapes go to the kernel.
+    """
+    pairs = candidates(left, right, metres, left_key, right_key, carry=True)
     points = (F.col("lg.type") == "Point") & (F.col("rg.type") == "Point")
-    p, q = F.col("lg.parts")[0][0], F.col("rg.parts")[0][0]
-    # Points far beyond are dropped by a native bound before the kernel.
-    bound = F.when(points, geo.haversine_km(p[0], p[1], q[0], q[1]) * 1000 <= metres * 1.01).otherwise(F.lit(True))
-    return pairs.where(bound).withColumn("metres", kernels.distance(F.col("lg"), F.col("rg"))).where(F.col("metres") <= metres).select(left_key, right_key, "metres")
+    native = F.when(points, point_metres(F.col("lg.parts")[0][0], F.col("rg.parts")[0][0]))
+    near = pairs.withColumn("__native", native).where(F.col("__native").isNull() | (F.col("__native") <= metres))
+    shape = lambda c: F.when(F.col("__native").isNull(), F.col(c))
+    measured = near.withColumn("metres", F.coalesce("__native", kernels.distance(shape("lg"), shape("rg"))))
+    return measured.where(F.col("metres") <= metres).select(left_key, right_key, "metres")
 
 
 def contained(areas: DataFrame, objects: DataFrame, left_key: str = "lkey", right_key: str = "rkey", buffer_m: float = 0.0) -> DataFrame:
@@ -111,15 +143,35 @@ def intersecting(left: DataFrame, right: DataFrame, left_key: str = "lkey", righ
 
 
 def nearest(points: DataFrame, lines: DataFrame, metres: float, prefer: Column | None = None, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
-    """For each point the nearest line within a distance; ties go to preferred, then to lower keys."""
-    found = within_distance(points, lines, metres, left_key, right_key)
-    if prefer is not None:
-        own = [c for c in points.columns if c not in (left_key, "geometry")], [c for c in lines.columns if c not in (right_key, "geometry")]
-        found = found.join(points.select(left_key, *own[0]), left_key).join(lines.select(right_key, *own[1]), right_key).withColumn("__p", F.when(prefer, 0).otherwise(1))
-    else:
-        found = found.withColumn("__p", F.lit(0))
-    best = found.groupBy(left_key).agg(F.min(F.struct(F.round("metres", 6).alias("m"), "__p", F.col(right_key).alias("k"), "metres")).alias("b"))
-    return best.select(left_key, F.col("b.k").alias(right_key), F.col("b.metres").alias("metres"))
+    """For each point the nearest line within a distance; ties go to preferred, then to lower keys.
+
+    A large distance is searched in rings from near to far: who has found a neighbour is done.
+    """
+    own = [c for c in points.columns if c not in (left_key, "geometry")], [c for c in lines.columns if c not in (right_key, "geometry")]
+
+    def within(some: DataFrame, reach: float) -> DataFrame:
+        found = within_distance(some, lines, reach, left_key, right_key)
+        if prefer is not None:
+            found = found.join(points.select(left_key, *own[0]), left_key).join(lines.select(right_key, *own[1]), right_key).withColumn("__p", F.when(prefer, 0).otherwise(1))
+        else:
+            found = found.withColumn("__p", F.lit(0))
+        best = found.groupBy(left_key).agg(F.min(F.struct(F.round("metres", 6).alias("m"), "__p", F.col(right_key).alias("k"), "metres")).alias("b"))
+        return best.select(left_key, F.col("b.k").alias(right_key), F.col("b.metres").alias("metres"))
+
+    reach = metres
+    while reach > RINGS_FROM_M:
+        reach /= RING
+    out, left = None, points
+    while reach < metres:
+        # What lies within rounding of a ring's edge is left to the next one, so that ties are seen whole.
+        found = materialize(within(left, reach).where(F.col("metres") < reach * (1 - 1e-9)), "nearest")
+        out = found if out is None else out.union(found)
+        following = materialize(left.join(found.select(left_key), left_key, "left_anti"), "not-yet")
+        if left is not points:
+            discard(left)
+        left, reach = following, reach * RING
+    last = within(left, metres)
+    return last if out is None else out.union(last)
 
 
 def nearest_rank(points: DataFrame, others: DataFrame, k: int, metres: float, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
