@@ -76,7 +76,7 @@ def candidates(left: DataFrame, right: DataFrame, widen_m: float = 0.0, left_key
         each = F.flatten(F.array(*(F.when(F.col("home") <= v, _level_cells(F.col("b"), widen, v)).otherwise(F.array().cast("array<struct<level:int,x:bigint,y:bigint>>")) for v in levels)))
         listed = first.withColumn("cells", each)
         # Where a side has one cell on each level a pair meets once in any case.
-        own = F.when(F.size("cells") > len(levels), F.col("cells"))
+        own = F.when(F.size("cells") > sum(F.when(F.col("home") <= v, 1).otherwise(0) for v in levels), F.col("cells"))
         return listed.select(key, *(f"{name}g" for _ in kept), F.col("b").alias(f"b{name}"), F.col("home").alias(f"h{name}"), own.alias(f"c{name}"), F.explode("cells").alias("c")).select("*", "c.*").drop("c")
 
     joined = placed(left, left_key, widen_m, "l").join(placed(right, right_key, 0.0, "r"), ["level", "x", "y"]).where(F.col("level") == F.greatest("hl", "hr"))
