@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; where that is unset (as in tests), an own one."""
+    """Folder named by spark.checkpoint.dir; where that is unset, an own one in local mode.
+
+    On a cluster a folder of this machine would be another one on every executor, so there it raises.
+    """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="pisteflow-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
