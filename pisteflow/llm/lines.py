@@ -4,7 +4,8 @@ A LineStore keeps runs of (line hash, documents it was found in), each bucketed
 hash, on levels. A batch of documents is reduced to its own hashes and counts, merge-anti-joined
 with the runs (hashes that a run has already settled are dropped) and added as a run of level 0.
 When a level has FANOUT runs they are merged into one run of the next level, summing counts. Runs
-are bucketed alike, so the merges don't shuffle what is stored.
+are bucketed alike with one sorted file a bucket, and are read in that order, so that merges neither
+shuffle nor sort what is stored.
 
 Defined results: null or empty text is one empty line, and lines without a key never go; long
 texts are split whole; a line counts once a document however often it recurs there; repeated rows
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import string
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +58,18 @@ def document_counts(df: DataFrame, text_col: str, *groups: Column) -> DataFrame:
     return one.select(*names, _hashes(F.col("key")).alias("h")).groupBy(*names, "h.h1", "h.h2").agg(F.count("*").alias("n"))
 
 
+@contextmanager
+def _stored_order(spark: SparkSession) -> Iterator[None]:
+    """Bucketed scans of one file a bucket are taken to be sorted as they were written."""
+    key = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class LineStore:
     """Levels of runs in the shared folder; counts of a hash add up over all runs."""
 
@@ -65,10 +80,23 @@ class LineStore:
 
     def _write(self, counts: DataFrame) -> str:
         name = f"run_{uuid.uuid4().hex}"
-        dealt = counts.select(*HASH, "n").repartition(self.buckets, *HASH)
-        dealt.write.format("parquet").bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", f"{self.path}/{name}").saveAsTable(name)
+        with _stored_order(self.spark):
+            dealt = counts.select(*HASH, "n").repartition(self.buckets, *HASH)
+            dealt.write.format("parquet").bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", f"{self.path}/{name}").saveAsTable(name)
         return name
 
+    def _drop(self, run: str) -> None:
+        """The table, and its files, which an external table would leave."""
+        self.spark.sql(f"DROP TABLE {run}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{run}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def drop(self) -> None:
+        """All runs."""
+        for run in (r for level in self.levels for r in level):
+            self._drop(run)
+        self.levels = []
+
     def add(self, counts: DataFrame) -> None:
         """Add a batch: (h1, h2, n) with one row a hash."""
         for run in (r for level in self.levels for r in level):
@@ -92,7 +120,7 @@ class LineStore:
             merged = merged.join(other, HASH, "full").select(*HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
         self._put(level + 1, self._write(merged))
         for run in runs:
-            self.spark.sql(f"DROP TABLE {run}")
+            self._drop(run)
 
     def compact(self) -> DataFrame:
         """All counts as one run."""
@@ -117,7 +145,9 @@ def dedup_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", m
     store = LineStore(spark, min_docs, buckets)
     for k in range(batches):
         store.add(counts.where(F.col("batch") == k).select(*HASH, "n"))
-    settled = store.compact().where(F.col("n") >= min_docs).select(*HASH)
+    settled = materialize(store.compact().where(F.col("n") >= min_docs).select(*HASH), "settled")
+    store.drop()
+    discard(counts)
     settled = F.broadcast(settled) if settled.count() <= BROADCAST_HASHES else settled
 
     # A row is told by its id and its text's hash, so equal rows are decided once and alike.
