@@ -68,6 +68,18 @@ def test_bpe_is_like_the_library_and_decodes(spark, docs, rows):
     assert bpe.encode_decode(docs.limit(0), _ranks(), P.PATTERN).count() == 0
 
 
+def test_bpe_with_the_production_ranks(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    import public_tokenizers as P
+
+    ranks = bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    long_one = spark.createDataFrame([(-1, "word " * 300_000 + "x" * 30_000), (-2, None)], "doc_id long, text string")
+    got = bpe.encode_decode(docs.union(long_one), ranks, P.PATTERN, outputs=("ids", "decoded")).collect()
+    assert len(got) > 200 and all(r.ids == own.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode() for r in got)
+
+
 def test_pieces_and_odd_characters():
     tiktoken = pytest.importorskip("tiktoken")
     import public_tokenizers as P
@@ -116,6 +128,16 @@ def test_suffix_dedup(docs, rows, monkeypatch, classes):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()), key=key) == _removed(rows, 120)
 
 
+def test_suffix_dedup_of_the_production_length(spark):
+    rnd = random.Random(12)
+    passages = [words(rnd, 90) for _ in range(3)]
+    rows = [(i, words(rnd, 30) + rnd.choice(passages)[rnd.randrange(60) : rnd.randrange(180, 420)] + words(rnd, 30), "en", "a") for i in range(40)]
+    rows += [(90, "ab" * 400, "en", "a"), (91, passages[0] + passages[0], "en", "b"), rows[0]]
+    got = suffixes.remove_repeats(table(spark, rows), length=200)
+    want = _removed(rows, 200)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()), key=key) == want and sum(w[2] for w in want) > 2000
+
+
 def test_suffix_dedup_of_nothing(docs):
     assert suffixes.remove_repeats(docs.limit(0)).count() == 0
 
@@ -140,6 +162,26 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(table(spark, rows).limit(0)).count() == 0
 
 
+def test_runs_are_merged_in_stored_order(spark):
+    """A merge of stored runs has no exchange of them and no sort."""
+    store = lines.LineStore(spark, 5, 4)
+    rows = lambda n: spark.range(n).selectExpr("id as h1", "id * 7 as h2", "2L as n")
+    names = [store._write(rows(50)), store._write(rows(30))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with lines._stored_order(spark):
+            joined = spark.table(names[0]).join(spark.table(names[1]).withColumnRenamed("n", "m"), lines.HASH, "full")
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Sort [" not in plan and "Exchange" not in plan
+            assert joined.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    store.levels = [names]
+    store.drop()
+    assert not [t.name for t in spark.catalog.listTables() if t.name in names]
+
+
 # -- 4 --------------------------------------------------------------------------------------------
 
 
@@ -175,6 +217,42 @@ def test_license_scan(spark):
     assert licenses.findings(table(spark, rows).limit(0)).count() == 0
 
 
+def test_license_scan_against_unbanded_alignment(spark):
+    """Edited and partial notices against a plain longest common subsequence of words, without a band or an index."""
+    rnd = random.Random(7)
+    few = {k: licenses.TEMPLATES[k] for k in ("mit", "isc", "zlib", "unlicense", "bsl-1.0")}
+    plain = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    rows = []
+    for i in range(60):
+        w = few[rnd.choice(list(few))].split()
+        for _ in range(rnd.randrange(0, 12)):
+            at = rnd.randrange(len(w))
+            w[at : at + 1] = rnd.choice([[], [w[at], "foo"], ["bar"]])
+        cut = rnd.choice([0, 0, len(w) // 8, len(w) // 3])
+        rows.append((i, words(rnd, 12) + " " + " ".join(w[cut:]) + " " + words(rnd, 12), "en", "a"))
+
+    def common(a, b):
+        best = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(best[j] + 1 if x == y else max(best[j + 1], new[j]))
+            best = new
+        return best[-1]
+
+    want = {}
+    for i, t, *_ in rows:
+        share = {k: common(plain(t), plain(v)) / len(plain(v)) for k, v in few.items()}
+        top = max(share, key=share.get)
+        if share[top] >= licenses.COVERAGE:
+            want[i] = (top, share[top])
+    got = {r.doc_id: (r.license, r.coverage) for r in licenses.findings(table(spark, rows), templates=few).collect()}
+    assert len(want) > 30 and set(got) <= set(want) and all(got[i][0] == want[i][0] and got[i][1] <= want[i][1] + 1e-9 for i in got)
+    assert len(got) >= 0.95 * len(want)
+    ties = licenses.findings(table(spark, [(1, few["mit"], "en", "a")] * 3), templates={"b": few["mit"], "a": few["mit"]}).collect()
+    assert [(r.doc_id, r.license) for r in ties] == [(1, "a")] * 3
+
+
 # -- 6 --------------------------------------------------------------------------------------------
 
 
@@ -199,6 +277,41 @@ def test_language_id(spark):
     assert {r.lang_pred for r in blank} == {"und"}
 
 
+def test_language_id_is_plain_nearest_centroid(spark):
+    """Scores against a plain version: dictionaries of n-grams, weights and cosines."""
+    import math
+
+    import numpy as np
+
+    rnd = random.Random(4)
+    kinds = {"aa": ["tion", "the", "ing"], "bb": ["schaft", "ung", "keit"]}
+    rows = [(i, _language(rnd, rnd.randrange(2, 30), kinds[k]), k, "s") for i, k in enumerate(list(kinds) * 30)]
+    data = table(spark, rows)
+    model = langid.fit(data)
+
+    def grams(t):
+        clean = re.sub(r"[^a-z\x80-\U0010ffff]+", " ", t.lower()).encode()
+        out = collections.Counter()
+        for n in langid.GRAMS:
+            for i in range(len(clean) - n + 1):
+                h = 0
+                for b in clean[i : i + n]:
+                    h = (h + b) * 0x9E3779B1 & 0xFFFFFFFF
+                    h ^= h >> 15
+                out[h % langid.DIMS] += 1
+        return out
+
+    texts = [grams(t) for _, t, *_ in rows]
+    df = collections.Counter(f for g in texts for f in g)
+    idf = {f: math.log((1 + len(rows)) / (1 + n)) + 0.05 for f, n in df.items()}
+    for r in langid.predict(data, model).collect():
+        v = np.zeros(langid.DIMS)
+        for f, n in texts[r.doc_id].items():
+            v[f] = math.log1p(n) * idf[f]
+        cosine = model.centroids @ (v / np.linalg.norm(v))
+        assert abs(cosine.max() - r.score) < 1e-4 and model.langs[model.lang_of[cosine.argmax()]] == r.lang_pred
+
+
 # -- 7 --------------------------------------------------------------------------------------------
 
 
@@ -227,6 +340,28 @@ def test_toxicity(spark):
     assert toxicity.score(data.limit(0), model).count() == 0
 
 
+def test_toxicity_is_the_corrected_risk(spark):
+    """Training lowers the non-negative risk of plain numpy, and scores are a plain sum of weights."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    xp = (rng.random((200, 5)) < [0.9, 0.8, 0.5, 0.5, 0.5]).astype(np.float32)
+    xu = np.concatenate([(rng.random((160, 5)) < [0.9, 0.8, 0.5, 0.5, 0.5]), (rng.random((640, 5)) < [0.1, 0.1, 0.5, 0.5, 0.5])]).astype(np.float32)
+    hashes = np.arange(5, dtype=np.uint64)
+
+    def risk(m):
+        loss = lambda x, y: (1 / (1 + np.exp(y * (x @ m.weights + m.bias)))).mean()
+        return 0.2 * loss(xp, 1) + max(0.0, loss(xu, -1) - 0.2 * loss(xp, -1))
+
+    blank = toxicity.Model(hashes, np.zeros(5), 0.0)
+    model = toxicity.train(hashes, xp, xu, 0.2)
+    assert risk(model) < 0.4 * risk(blank) and model.weights[:2].min() > abs(model.weights[2:]).max()
+    raw = "alpha beta alphabet".encode()
+    row, h = toxicity.words_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    made = toxicity.Model(np.sort(h), np.arange(len(h), dtype=float), -1.0)
+    assert len(h) == 5 and abs(made.scores(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0] - 1 / (1 + np.exp(-(sum(range(5)) - 1)))) < 1e-12
+
+
 # -- 8 --------------------------------------------------------------------------------------------
 
 
