@@ -93,6 +93,16 @@ def elevations(geometry: Column) -> Column:
     return F.array_compact(F.transform(positions(geometry), elevation))
 
 
+def to_sinusoidal(geometry: Column) -> Column:
+    """All positions in metres of the sinusoidal grid; elevations are left out."""
+
+    def moved(p: Column) -> Column:
+        s = sinusoidal(p[0], p[1])
+        return F.array(s["x"], s["y"])
+
+    return F.struct(geometry["type"].alias("type"), F.transform(geometry["parts"], lambda r: F.transform(r, moved)).alias("parts"), geometry["poly"].alias("poly"))
+
+
 def type_name(geometry: Column) -> Column:
     """Upper case, polygons as multipolygons."""
     return F.when(geometry["type"] == "Polygon", "MULTIPOLYGON").otherwise(F.upper(geometry["type"]))

@@ -69,3 +69,8 @@ def is_placeholder(geometry: Column) -> Column:
     """F21."""
     p = geometry["parts"][0][0]
     return (geometry["type"] == "Point") & (p[0] == 360.0) & (p[1] == 360.0)
+
+
+def unique_id() -> Column:
+    """A random id; where an id has to stay the same in a rerun, hash what makes the row instead."""
+    return F.uuid()

@@ -196,6 +196,16 @@ def _graph(objects: DataFrame, metres: float) -> DataFrame:
     return both.select(F.col("lkey").alias("a"), F.col("rkey").alias("b"))
 
 
+def derived_places(areas: DataFrame, objects: DataFrame) -> DataFrame:
+    """(area, lkey, geometry): all geometries of an area's members, or else its own.
+
+    What is near the union of some shapes is near one of them, so they are never united.
+    """
+    by_member = member_rows(objects).select(F.col("ski_area").alias("area"), "key", "geometry").join(areas.select(F.col("key").alias("area")), "area", "left_semi")
+    own = areas.select(F.col("key").alias("area"), "geometry").join(by_member.select("area").distinct(), "area", "left_anti")
+    return by_member.select("area", F.concat_ws("|", "area", "key").alias("lkey"), "geometry").union(own.select("area", F.col("area").alias("lkey"), "geometry"))
+
+
 def assign_greedily(objects: DataFrame, source: str, polygons_only: bool | None, edges: DataFrame | None = None) -> DataFrame:
     """C7 for passes C and E: in key order, each area takes what it reaches and no other has.
 
@@ -205,12 +215,8 @@ def assign_greedily(objects: DataFrame, source: str, polygons_only: bool | None,
     areas = objects.where((F.col("type") == "skiArea") & (F.col("source") == source) & ~ids.is_placeholder(F.col("geometry")))
     if polygons_only is not None:
         areas = areas.where("is_polygon" if polygons_only else "not is_polygon")
-    members = member_rows(objects)
-    # An area is where its members are, or else where it is itself.
-    by_member = members.select(F.col("ski_area").alias("area"), "key", "geometry").join(areas.select(F.col("key").alias("area")), "area", "left_semi")
-    own = areas.select(F.col("key").alias("area"), "geometry").join(by_member.select("area").distinct(), "area", "left_anti")
     free = objects.where("type <> 'skiArea' and size(activities) > 0 and size(ski_areas) = 0").select(F.col("key").alias("rkey"), "geometry")
-    places = by_member.select("area", F.concat_ws("|", "area", "key").alias("lkey"), "geometry").union(own.select("area", F.col("area").alias("lkey"), "geometry"))
+    places = derived_places(areas, objects)
     reach = spatial.within_distance(places.select("lkey", "geometry"), free, NEAR_M).join(places.select("lkey", "area"), "lkey").select("area", F.col("rkey").alias("key")).distinct()
     reach = materialize(reach, "reach")
     open_edges = edges.join(free.select(F.col("rkey").alias("a")), "a", "left_semi").join(free.select(F.col("rkey").alias("b")), "b", "left_semi")

@@ -37,6 +37,16 @@ def _sums() -> list[Column]:
     ]
 
 
+def is_run(kind: Column) -> Column:
+    """A21."""
+    return kind == "run"
+
+
+def is_lift(kind: Column) -> Column:
+    """A21."""
+    return kind == "lift"
+
+
 def run_statistics(runs: DataFrame) -> DataFrame:
     """A2: (ski_area, activity, difficulty, sums); polygons are left out, a run counts in each activity.
 
@@ -58,7 +68,7 @@ def ski_area_statistics(members: DataFrame) -> DataFrame:
 
     members: one row for each object of an area, with ski_area and the object's columns.
     """
-    runs, lifts = run_statistics(members.where("type = 'run'")), lift_statistics(members.where("type = 'lift'"))
+    runs, lifts = run_statistics(members.where(is_run(F.col("type")))), lift_statistics(members.where(is_lift(F.col("type"))))
     nested = runs.groupBy("ski_area", "activity").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("difficulty", F.struct("count", "lengthInKm", "snowmakingLengthInKm", "snowfarmingLengthInKm", "minElevation", "maxElevation", "combinedElevationChange"))))).alias("byDifficulty"),
         F.min("minElevation").alias("lo"),

@@ -105,7 +105,7 @@ def test_csv_and_package(spark, tmp_path):
     assert (tmp_path / "e.csv").read_text() == ""
 
     a, b = sinks.GeoPackage(str(tmp_path / "a.gpkg")), sinks.GeoPackage(str(tmp_path / "b.gpkg"))
-    rows = export.package_columns(lifts, ["liftType"])
+    rows = export.package_columns(lifts, "lift")
     a.add(rows, "lifts")
     b.add(rows.union(rows.withColumn("feature_id", F.lit("other"))), "lifts")
     b.close()
@@ -114,13 +114,15 @@ def test_csv_and_package(spark, tmp_path):
     a.close()
     db = sqlite3.connect(tmp_path / "a.gpkg")
     assert db.execute("select count(*) from rtree_lifts_linestring_geometry").fetchone() == (2,)
-    assert db.execute("select liftType, countries from lifts_linestring").fetchone() == ("t-bar", None)
+    assert db.execute("select lift_type, countries from lifts_linestring").fetchone() == ("t-bar", None)
 
 
 def test_map_layers(spark):
     runs = formatters.format_runs(raw(spark, ("LineString", [[11, 47], [11.1, 47]], {"piste:type": "downhill;hike;sled"}), ("LineString", [[1, 1], [2, 2]], {"piste:type": "connection"})))
-    rows = export.map_runs(runs).collect()
-    assert len(rows) == 1 and (rows[0].properties.downhill, rows[0].properties.other) == (-0.5, 0.5)
+    area = F.array(F.struct(F.lit("a").alias("id"), F.lit("A").alias("name")))
+    rows = [json.loads(r.properties) for r in export.map_runs(runs.withColumn("areas", area)).collect()]
+    assert len(rows) == 1 and (rows[0]["downhill"], rows[0]["other"], rows[0]["skiAreas"]) == (-0.5, 0.5, ["a"])
+    assert "nordic" not in rows[0] and rows[0]["snowmaking"] is None
 
 
 def test_upsert_delete_and_lookup(spark):
