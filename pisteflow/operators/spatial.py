@@ -111,15 +111,13 @@ def point_metres(p: Column, q: Column) -> Column:
 def within_distance(left: DataFrame, right: DataFrame, metres: float, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
     """(left_key, right_key, metres) of pairs at most so far apart.
 
-    Two points are measured natively; only other shapes go to the kernel.
+    Two points are measured natively; only pairs with another shape are found for the kernel.
     """
-    pairs = candidates(left, right, metres, left_key, right_key, carry=True)
-    points = (F.col("lg.type") == "Point") & (F.col("rg.type") == "Point")
-    native = F.when(points, point_metres(F.col("lg.parts")[0][0], F.col("rg.parts")[0][0]))
-    near = pairs.withColumn("__native", native).where(F.col("__native").isNull() | (F.col("__native") <= metres))
-    shape = lambda c: F.when(F.col("__native").isNull(), F.col(c))
-    measured = near.withColumn("metres", F.coalesce("__native", kernels.distance(shape("lg"), shape("rg"))))
-    return measured.where(F.col("metres") <= metres).select(left_key, right_key, "metres")
+    point = F.col("geometry.type") == "Point"
+    near = lambda a, b: candidates(a, b, metres, left_key, right_key, carry=True)
+    native = near(left.where(point), right.where(point)).withColumn("metres", point_metres(F.col("lg.parts")[0][0], F.col("rg.parts")[0][0]))
+    shapes = near(left.where(point), right.where(~point)).union(near(left.where(~point), right)).withColumn("metres", kernels.distance(F.col("lg"), F.col("rg")))
+    return native.union(shapes).where(F.col("metres") <= metres).select(left_key, right_key, "metres")
 
 
 def contained(areas: DataFrame, objects: DataFrame, left_key: str = "lkey", right_key: str = "rkey", buffer_m: float = 0.0) -> DataFrame:
