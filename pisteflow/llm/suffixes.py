@@ -186,15 +186,22 @@ def _cut(df: DataFrame, text_col: str, told: list, length: int) -> DataFrame:
 
 
 def _fetch(df: DataFrame, text_col: str, told: list, asked: DataFrame, length: int) -> DataFrame:
-    """asked with the bytes of each segment, cut from the text of its row."""
+    """asked with the bytes of each segment, cut from the text of its row; rows alike in a task are cut once."""
     fields = [f for f in asked.schema.fields if f.name not in ROW]
     names = [f.name for f in fields]
     per = asked.groupBy(*ROW).agg(F.collect_list(F.struct(*names)).alias("segs")).withColumnsRenamed({"row_id": "i", "row_hash": "h"})
     rows = df.select(*told, F.col(text_col).alias("text"))
-    held = rows.join(per, rows["row_id"].eqNullSafe(per["i"]) & (rows["row_hash"] == per["h"])).select("text", "segs")
+    held = rows.join(per, rows["row_id"].eqNullSafe(per["i"]) & (rows["row_hash"] == per["h"])).select("text", "segs", *ROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int | None, int]] = set()
         for batch in batches:
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ROW), strict=True))
+            new = []
+            for r in rows:
+                new.append(r not in seen)
+                seen.add(r)
+            batch = batch.filter(pa.array(new, pa.bool_()))
             for base in range(0, batch.num_rows, 500):
                 part = batch.slice(base, 500)
                 segs = part.column("segs").flatten()
@@ -275,12 +282,16 @@ def _resolve(pieces: DataFrame, length: int, blocks: tuple[int, ...]) -> DataFra
     if not blocks or large.isEmpty():
         return built
     parts = materialize(large.mapInPandas(lambda f: _split(f, length, blocks[0]), PIECE), "blocks")
-    counts = parts.groupBy("key", "content").agg(F.count("*").alias("copies"))
-    groups = materialize(counts.groupBy("key").agg(F.count("*").alias("classes"), F.sum("copies").alias("n")).where("n > 1"), "block-groups")
-    counts = materialize(counts.where("copies > 1"), "block-copies")
+    which = F.struct("anchor_hash", "class", "first")
+    counts = materialize(parts.groupBy("key", "content").agg(F.count("*").alias("copies"), F.min(which).alias("one")), "block-counts")
+    groups = materialize(counts.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1"), "block-groups")
+    copied = counts.where("copies > 1").select("key", "content", "one")
+    told = parts.join(copied, ["key", "content"], "left")
     lo, hi = (F.col(c) - F.col("origin") for c in ("first", "last"))
-    whole = parts.join(counts.select("key", "content"), ["key", "content"], "left_semi").select("anchor_hash", "class", lo.alias("lo"), hi.alias("hi"))
-    more = parts.join(groups.where("classes > 1").select("key", "classes"), "key")
+    whole = told.where("one is not null").select("anchor_hash", "class", lo.alias("lo"), hi.alias("hi"))
+    # Of copies, which are settled, one goes on as a witness: rows of a key are then as many as its classes.
+    witness = told.where(F.col("one").isNull() | (F.col("one") == which)).drop("one")
+    more = witness.join(groups, "key")
     return built.union(whole).union(_resolve(materialize(more, "pieces"), length, blocks[1:]) if blocks[1:] else more.where("false").select("anchor_hash", "class", lo.alias("lo"), hi.alias("hi")))
 
 
