@@ -280,8 +280,8 @@ def _as_points(df: DataFrame, key: str, out: str) -> DataFrame:
 )
 def distance_join_haversine(spark, d):
     """Pairs within 2.5 km through the grid."""
-    pairs = spatial.within_distance(_as_points(customers(spark, d), "c_custkey", "lkey"), _as_points(suppliers(spark, d), "s_suppkey", "rkey"), 2500.0)
-    return pairs.select(F.col("lkey").alias("c_custkey"), F.col("rkey").alias("s_suppkey"), r6(F.col("metres")).alias("metres"))
+    pairs = spatial.within_distance(_as_points(customers(spark, d), "c_custkey", "lkey"), _as_points(suppliers(spark, d), "s_suppkey", "rkey"), 2500.0, decimals=6)
+    return pairs.select(F.col("lkey").alias("c_custkey"), F.col("rkey").alias("s_suppkey"), "metres")
 
 
 @query(

@@ -18,6 +18,8 @@ CELL = 0.01
 #: Cells of one geometry at this size at most; a larger one uses coarser cells.
 LEVELS, CELLS = (1, 16, 256), 64
 _M_PER_DEGREE = 110574.0
+#: A degree along the equator is slightly longer than this.
+_M_PER_DEGREE_EAST = 111319.0
 #: A nearest neighbour further than this is looked for in rings, each RING times as wide as the one before.
 RINGS_FROM_M, RING = 2000.0, 4
 
@@ -97,7 +99,7 @@ def _with_geometries(pairs: DataFrame, left: DataFrame, right: DataFrame, left_k
     return pairs.join(a, left_key).join(b, right_key)
 
 
-def point_metres(p: Column, q: Column) -> Column:
+def point_metres(p: Column | tuple[Column, Column], q: Column | tuple[Column, Column]) -> Column:
     """G8 of two positions: distance in the local frame of their mean latitude, as in the kernels."""
     e2 = kernels.ECCENTRICITY2
     lat = F.radians((p[1] + q[1]) / 2)
@@ -108,16 +110,56 @@ def point_metres(p: Column, q: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def within_distance(left: DataFrame, right: DataFrame, metres: float, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
-    """(left_key, right_key, metres) of pairs at most so far apart.
+def _none(df: DataFrame) -> bool:
+    """Whether the plan alone tells that there are no rows, as where every geometry is made as a point."""
+    most = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return most.isDefined() and most.get() == 0
 
-    Two points are measured natively; only pairs with another shape are found for the kernel.
+
+def _spots(df: DataFrame, x: str, y: str, *keep: str) -> DataFrame:
+    """Positions of points as two columns; placeholders are left out."""
+    p = F.col("geometry.parts")[0][0]
+    return df.where(F.col("geometry.type") == "Point").select(*keep, p[0].alias(x), p[1].alias(y)).where(F.col(x) <= 180)
+
+
+def _measured(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
+    """Rows of left (__lx, __ly, ...) and right (__rx, __ry, ...) at most so far apart, with metres.
+
+    Cells are as high as the distance is far, and a whole number of them goes round each row. A right position
+    is in one cell and a left one in all that its reach meets, so each pair is found once.
+    """
+    dy = metres / _M_PER_DEGREE
+    size = max(CELL, dy)
+    around = lambda row: F.greatest(F.floor(F.lit(360.0) * F.cos(F.radians(F.least(F.abs(row * size), F.lit(89.0)))) / size), F.lit(1))
+    at = lambda x: F.floor((x + 180) * F.col("__n") / 360)
+    far = F.abs("__ly") + dy
+    dx = F.when(far < 89.9, F.lit(metres / _M_PER_DEGREE_EAST) / F.cos(F.radians(far))).otherwise(F.lit(360.0))
+    rows = left.withColumn("__dx", dx).withColumn("__row", F.explode(F.sequence(F.floor((F.col("__ly") - dy) / size), F.floor((F.col("__ly") + dy) / size)))).withColumn("__n", around(F.col("__row")))
+    first, last = at(F.col("__lx") - F.col("__dx")), at(F.col("__lx") + F.col("__dx"))
+    cells = rows.withColumn("__c", F.explode(F.sequence(first, F.least(last, first + F.col("__n") - 1)))).withColumn("__c", F.pmod("__c", "__n")).drop("__dx", "__n")
+    own = right.withColumn("__row", F.floor(F.col("__ry") / size)).withColumn("__n", around(F.col("__row"))).withColumn("__c", F.pmod(at(F.col("__rx")), F.col("__n"))).drop("__n")
+    together = cells.join(own, ["__row", "__c"]).where(F.abs(F.col("__ly") - F.col("__ry")) <= dy).drop("__row", "__c")
+    measured = point_metres((F.col("__lx"), F.col("__ly")), (F.col("__rx"), F.col("__ry")))
+    return together.withColumn("metres", measured).where(F.col("metres") <= metres)
+
+
+def within_distance(left: DataFrame, right: DataFrame, metres: float, left_key: str = "lkey", right_key: str = "rkey", decimals: int | None = None) -> DataFrame:
+    """(left_key, right_key, metres) of pairs at most so far apart; found distances may be rounded.
+
+    Two points are measured natively, each position of the left side once, whatever number of rows
+    lies there; only pairs with another shape are found for the kernel.
     """
+    said = F.col("metres") if decimals is None else F.round("metres", decimals).alias("metres")
     point = F.col("geometry.type") == "Point"
-    near = lambda a, b: candidates(a, b, metres, left_key, right_key, carry=True)
-    native = near(left.where(point), right.where(point)).withColumn("metres", point_metres(F.col("lg.parts")[0][0], F.col("rg.parts")[0][0]))
-    shapes = near(left.where(point), right.where(~point)).union(near(left.where(~point), right)).withColumn("metres", kernels.distance(F.col("lg"), F.col("rg")))
-    return native.union(shapes).where(F.col("metres") <= metres).select(left_key, right_key, "metres")
+    here = _spots(left, "__lx", "__ly", left_key)
+    pairs = _measured(here.select("__lx", "__ly").distinct(), _spots(right, "__rx", "__ry", right_key), metres).select("__lx", "__ly", right_key, said)
+    # Few rows may make very many pairs here, so neither side is broadcast.
+    out = here.join(pairs.hint("merge"), ["__lx", "__ly"]).select(left_key, right_key, "metres")
+    for a, b in ((left.where(point), right.where(~point)), (left.where(~point), right)):
+        if not (_none(a) or _none(b)):
+            met = candidates(a, b, metres, left_key, right_key, carry=True).withColumn("metres", kernels.distance(F.col("lg"), F.col("rg")))
+            out = out.union(met.where(F.col("metres") <= metres).select(left_key, right_key, said))
+    return out
 
 
 def contained(areas: DataFrame, objects: DataFrame, left_key: str = "lkey", right_key: str = "rkey", buffer_m: float = 0.0) -> DataFrame:

@@ -1,4 +1,6 @@
 import random
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 from helpers import shapes
@@ -56,3 +58,43 @@ def test_pixels_of_a_point_and_a_line():
     line = kernels.plain({"type": "LineString", "parts": [[[11.0, 47.0], [11.02, 47.0]]], "poly": [0]})
     assert len(kernels.pixels_of(dot)) == 1
     assert set(kernels.pixels_of(dot)) <= set(kernels.pixels_of(line)) and len(kernels.pixels_of(line)) >= 4
+
+
+@contextmanager
+def seconds(spark, limit):
+    """Jobs that still run after so long are cancelled, so that the test fails."""
+    timer = threading.Timer(limit, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    try:
+        yield
+    finally:
+        timer.cancel()
+
+
+def dots(spark, n, key, x, y):
+    """Points of numbered rows."""
+    at = F.array(F.array(F.array(x.cast("double"), y.cast("double"))))
+    return spark.range(n).select(F.col("id").alias(key), F.struct(F.lit("Point").alias("type"), at.alias("parts"), F.array(F.lit(0)).alias("poly")).alias("geometry"))
+
+
+def test_points_at_one_position_are_measured_once(spark):
+    n = F.col("id")
+    a = dots(spark, 200_000, "lkey", 11 + F.floor(n / 200_000), 47 + F.floor(n / 200_000))
+    near = n % 25_000 == 7
+    b = dots(spark, 50_000, "rkey", F.when(near, 11.01).otherwise(11.025), F.when(near, 47.0).otherwise(47.017))
+    with seconds(spark, 60):
+        got = spatial.within_distance(a, b, 2000.0).groupBy("rkey").agg(F.count("*").alias("n"), F.min("metres").alias("m"), F.max("metres").alias("x")).collect()
+    assert sorted((r.rkey, r.n) for r in got) == [(7, 200_000), (25_007, 200_000)]
+    assert all(r.m == r.x and abs(r.m - 760.6) < 1 for r in got)
+
+
+def test_point_pairs_match_brute_force(spark):
+    rnd = random.Random(9)
+    spot = lambda: rnd.choice([[11 + rnd.random() * 0.1, 47 + rnd.random() * 0.1], [rnd.random() * 0.1 - 0.05, rnd.random() * 0.1 - 0.05], [170 + rnd.random() * 9, 88.5 + rnd.random() * 0.9], [-180.0, -47.0], [180.0, 0.01], [11.0, 47.0]])
+    a = [(f"a{i}", "Point", spot()) for i in range(150)] + [("placeholder", "Point", [360.0, 360.0])]
+    b = [(f"b{i}", "Point", spot()) for i in range(150)] + [("placeholder", "Point", [360.0, 360.0])]
+    plain = lambda c: kernels.plain({"type": "Point", "parts": [[c]], "poly": [0]})
+    for metres in (300.0, 2500.0, 20_000.0):
+        got = {(r.lkey, r.rkey): r.metres for r in spatial.within_distance(shapes(spark, "lkey", *a), shapes(spark, "rkey", *b), metres, decimals=6).collect()}
+        want = {(x[0], y[0]): m for x in a[:-1] for y in b[:-1] if (m := kernels.distance_m(plain(x[2]), plain(y[2]))) <= metres}
+        assert set(got) == set(want) and all(abs(got[k] - m) < 1e-5 for k, m in want.items()) and want
