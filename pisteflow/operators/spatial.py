@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -182,11 +183,43 @@ def intersecting(left: DataFrame, right: DataFrame, left_key: str = "lkey", righ
     return pairs.where(kernels.meets(F.col("lg"), F.col("rg"))).select(left_key, right_key)
 
 
+def _nearest_spots(points: DataFrame, others: DataFrame, metres: float, left_key: str, right_key: str) -> DataFrame:
+    """J9 of points alone: rows at one position share a neighbour, and of those at another the least key counts."""
+    here = _spots(points, "__lx", "__ly", left_key)
+    there = materialize(_spots(others, "__rx", "__ry", right_key).groupBy("__rx", "__ry").agg(F.min(right_key).alias("__k")), "targets")
+    left, rings = materialize(here.select("__lx", "__ly").distinct(), "not-yet"), []
+    reach = metres
+    while reach > RINGS_FROM_M:
+        reach /= RING
+    while True:
+        near = _measured(left, there, min(reach, metres))
+        best = near.groupBy("__lx", "__ly").agg(F.min(F.struct(F.round("metres", 6).alias("m"), F.col("__k").alias("k"), "metres")).alias("b"))
+        if reach >= metres:
+            rings.append(best)
+            break
+        # What lies within rounding of a ring's edge is left to the next one, so that ties are seen whole.
+        found = materialize(best.where(F.col("b.metres") < reach - 1e-5), "nearest")
+        rings.append(found)
+        following = materialize(left.join(found.select("__lx", "__ly"), ["__lx", "__ly"], "left_anti"), "not-yet")
+        discard(left)
+        left, reach = following, reach * RING
+        if left.isEmpty():
+            break
+    spots = functools.reduce(DataFrame.union, rings)
+    # A key that is at several positions has the nearest neighbour of all.
+    of_key = here.join(spots, ["__lx", "__ly"]).groupBy(left_key).agg(F.min("b").alias("b"))
+    return of_key.select(left_key, F.col("b.k").alias(right_key), F.col("b.metres").alias("metres"))
+
+
 def nearest(points: DataFrame, lines: DataFrame, metres: float, prefer: Column | None = None, left_key: str = "lkey", right_key: str = "rkey") -> DataFrame:
     """For each point the nearest line within a distance; ties go to preferred, then to lower keys.
 
-    A large distance is searched in rings from near to far: who has found a neighbour is done.
+    A large distance is searched in rings from near to far: who has found a neighbour is done. Where
+    both sides are made as points, positions are searched instead of rows.
     """
+    other = F.col("geometry.type") != "Point"
+    if prefer is None and _none(points.where(other)) and _none(lines.where(other)):
+        return _nearest_spots(points, lines, metres, left_key, right_key)
     own = [c for c in points.columns if c not in (left_key, "geometry")], [c for c in lines.columns if c not in (right_key, "geometry")]
 
     def within(some: DataFrame, reach: float) -> DataFrame:

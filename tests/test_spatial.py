@@ -98,3 +98,24 @@ def test_point_pairs_match_brute_force(spark):
         got = {(r.lkey, r.rkey): r.metres for r in spatial.within_distance(shapes(spark, "lkey", *a), shapes(spark, "rkey", *b), metres, decimals=6).collect()}
         want = {(x[0], y[0]): m for x in a[:-1] for y in b[:-1] if (m := kernels.distance_m(plain(x[2]), plain(y[2]))) <= metres}
         assert set(got) == set(want) and all(abs(got[k] - m) < 1e-5 for k, m in want.items()) and want
+
+
+def test_nearest_among_points_at_one_position(spark):
+    n = F.col("id")
+    a = dots(spark, 100_000, "lkey", 11 + F.floor(n / 99_999) * 0.15, 47 + F.floor(n / 100_000))
+    b = dots(spark, 100_000, "rkey", 11.005 + F.floor(n / 100_000), 47.005 + F.floor(n / 99_999) * 3)
+    with seconds(spark, 60):
+        got = spatial.nearest(a, b.withColumn("rkey", 100_002 - F.col("rkey")), 20_000.0).groupBy("rkey").agg(F.count("*").alias("n"), F.round(F.min("metres"), -2).alias("m")).collect()
+    assert [tuple(r) for r in got] == [(4, 100_000, 700.0)]
+
+
+def test_nearest_points_match_brute_force(spark):
+    rnd = random.Random(3)
+    spot = lambda: [11 + rnd.randrange(60) * 0.005, 47 + rnd.randrange(60) * 0.005]
+    a = [(f"a{i % 80}", "Point", spot()) for i in range(100)] + [("lone", "Point", [12.0, 47.0]), ("placeholder", "Point", [360.0, 360.0])]
+    b = [(f"b{i}", "Point", spot()) for i in range(12)] * 2
+    plain = lambda c: kernels.plain({"type": "Point", "parts": [[c]], "poly": [0]})
+    every = [(x[0], (round(kernels.distance_m(plain(x[2]), plain(y[2])), 6), y[0])) for x in a[:-1] for y in b]
+    want = {k: min(v for j, v in every if j == k) for k, _ in every}
+    got = {r.lkey: (round(r.metres, 6), r.rkey) for r in spatial.nearest(shapes(spark, "lkey", *a), shapes(spark, "rkey", *b), 20_000.0).collect()}
+    assert got == {k: v for k, v in want.items() if v[0] <= 20_000.0} and "lone" not in got
