@@ -17,6 +17,7 @@ from pisteflow.functions.jsnum import js_round
 from pisteflow.operators import algebra, relational, spatial, topology
 from pisteflow.operators.graph import connected_components
 from pisteflow.plans import clustering, export, formatters, snow, statistics
+from pisteflow.plans.lineage import materialize
 from pisteflow.sources import geojson, osm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -511,8 +512,10 @@ def connected_components_query(spark, d):
     return connected_components(_chains(spark, d)).select("node", "component")
 
 
-# Customers as objects along parallels, 304 m apart, a hundred in a row; every seventh is missing, so
-# that what is left falls into chains. Every tenth place has a ski area 111 m to the north.
+# Customers as objects along parallels, 304 m apart at 47 degrees and 257 m at most northern 54.45, a hundred in a
+# row; every seventh is missing, so that what is left falls into chains. Every tenth place has a ski area 111 m to
+# the north. Rows go north by 0.05 degrees; after 150 they go on half a degree further east, and once round the
+# world 0.01 degrees north of the first ones, so that gaps stay wider than the search at any number of customers.
 _SQL_ROWS = """o AS (SELECT c_custkey AS k, 'o' || lpad(c_custkey::VARCHAR, 9, '0') AS key FROM customer WHERE c_custkey % 7 <> 0),
     g AS (SELECT k, key, sum(CASE WHEN EXISTS (SELECT 1 FROM o p WHERE p.k = o.k - 1 AND p.k // 100 = o.k // 100) THEN 0 ELSE 1 END) OVER (ORDER BY k) AS part FROM o)"""
 
@@ -520,7 +523,11 @@ _SQL_ROWS = """o AS (SELECT c_custkey AS k, 'o' || lpad(c_custkey::VARCHAR, 9, '
 def _rows_of_objects(spark, d, kind: Column, areas: bool) -> DataFrame:
     k = F.col("c_custkey")
     text = lambda mark: F.concat(F.lit(mark), F.lpad(k.cast("string"), 9, "0"))
-    x, y = F.lit(11.0) + (k % 100) * 0.004, F.lit(47.0) + F.floor(k / 100) * 0.05
+    row = F.floor(k / 100)
+    column = F.floor(row / 150)
+    east = F.lit(11.0) + column % 720 * 0.5
+    x = F.when(east < 180, east).otherwise(east - 360) + (k % 100) * 0.004
+    y = F.lit(47.0) + row % 150 * 0.05 + F.floor(column / 720) * 0.01
     null = lambda t: F.lit(None).cast(t)
     none = F.array().cast("array<string>")
 
@@ -559,7 +566,7 @@ def greedy_assign_min_key(spark, d):
 def generated_areas(spark, d):
     """Areas for runs that are in none; downhill needs a lift."""
     objects = _rows_of_objects(spark, d, F.when(F.col("c_custkey") % 5 == 0, "lift").otherwise("run"), areas=False)
-    edges = clustering._graph(objects, clustering.NEAR_M)
+    edges = materialize(clustering._graph(objects, clustering.NEAR_M), "near")
     out = clustering.pass_f(objects, edges)
     return out.where("type <> 'skiArea'").select(F.explode("ski_areas").alias("area"), "key")
 
