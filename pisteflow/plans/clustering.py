@@ -335,7 +335,9 @@ def pass_f(objects: DataFrame, edges: DataFrame) -> DataFrame:
             out += [(area, k, ",".join(sorted(active))) for k in members]
         return pd.DataFrame(out, columns=["ski_area", "key", "acts"])
 
-    found = nodes.union(lines).join(wanted, "component", "left_semi").groupBy("component").applyInPandas(replay, "ski_area string, key string, acts string")
+    # A fixed number of partitions: small as the rows are, they'd be coalesced into one task for all components.
+    tasks = 4 * objects.sparkSession.sparkContext.defaultParallelism
+    found = nodes.union(lines).join(wanted, "component", "left_semi").repartition(tasks, "component").groupBy("component").applyInPandas(replay, "ski_area string, key string, acts string")
     found = materialize(found, "generated")
     members = found.select("ski_area", "key").join(objects.select("key", "geometry", "activities"), "key")
     made = area_point(members).join(found.groupBy("ski_area").agg(F.first("acts").alias("acts")), "ski_area")
